@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.functions import text as T
+from glossmill.functions.rows import explode
 from glossmill.operators.counting import JobCounters, count_terms
 from glossmill.operators.words import without_stop_words
 
@@ -86,13 +87,13 @@ def chunk_counts(
         )
         if isinstance(stop_words, DataFrame):
             raise ValueError("with skip_patterns give stop_words as a list")
-        rows = chunks.select(by, F.explode(F.split(joined, "\t")).alias("chunk"))
+        rows = explode(chunks, [by], F.split(joined, "\t"), "chunk")
     else:
-        rows = chunks.select(by, F.explode("chunks").alias("chunk"))
+        rows = explode(chunks, [by], "chunks", "chunk")
         if stop_words is not None:
             rows = without_stop_words(rows, chunk_text(F.col("chunk")), stop_words)
         # A tab inside a chunk ends it.
-        rows = rows.select(by, F.explode(F.split("chunk", "\t")).alias("chunk"))
+        rows = explode(rows, [by], F.split("chunk", "\t"), "chunk")
         if not case_sensitive:
             rows = rows.select(by, F.lower("chunk").alias("chunk"))
     rows = rows.filter(F.col("chunk") != "")

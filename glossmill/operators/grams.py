@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.functions import text as T
+from glossmill.functions.rows import explode
 from glossmill.functions.stemming import stem_all
 from glossmill.operators.counting import JobCounters, check_unit, count_terms
 
@@ -31,14 +32,14 @@ def token_lines(
     if per_record and not stem:
         lines = F.transform(T.sentences(body), split_line)
         return records.select(*keep, lines.alias("lines"))
-    lines = records.select(*keep, F.explode(T.sentences(body)).alias("line"))
+    lines = explode(records, keep, T.sentences(body), "line")
     toks = split_line(F.col("line"))
     return lines.select(*keep, (stem_all(toks) if stem else toks).alias("tokens"))
 
 
 def _explode_grams(df: DataFrame, keep: Sequence[str], grams: Column) -> DataFrame:
     """One row per valid, cleaned gram."""
-    raw = df.select(*keep, F.explode(grams).alias("raw"))
+    raw = explode(df, keep, grams, "raw")
     valid = raw.filter(T.valid_raw_gram(F.col("raw")))
     return valid.select(*keep, T.clean_gram(F.col("raw")).alias("gram"))
 
@@ -77,12 +78,12 @@ def ngrams(
         cleaned = F.array_distinct(
             F.transform(F.filter(raw, T.valid_raw_gram), T.clean_gram)
         )
-        grams = lines.select(*keep, F.explode(cleaned).alias("gram"))
+        grams = explode(lines, keep, cleaned, "gram")
     if by_heading:
         headings = F.col("headings")
         if unit == "document":
             headings = F.array_distinct(headings)
-        grams = grams.select(F.explode(headings).alias("heading"), "gram")
+        grams = explode(grams, ["gram"], headings, "heading")
         return count_terms(grams, ["heading", "gram"], min_freq, counters)
     return count_terms(grams, ["gram"], min_freq, counters)
 
@@ -120,7 +121,7 @@ def ngram_sweep(
         records, case_sensitive=case_sensitive, skip_patterns=skip_patterns
     )
     windows = T.gram_windows_between(F.col("tokens"), lo, hi)
-    raw = lines.select(F.inline(windows))
+    raw = lines.select(F.inline_outer(windows))
     valid = raw.filter(T.valid_raw_gram(F.col("gram")))
     grams = valid.select("n", T.clean_gram(F.col("gram")).alias("gram"))
     return count_terms(grams, ["n", "gram"], min_freq, counters)

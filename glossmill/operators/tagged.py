@@ -50,7 +50,7 @@ def tagged_ngrams(
             F.get("pos", i + (n - 1)).alias("pos_last"),
         )
 
-    rows = lines.select(F.inline(F.transform("tokens", window)))
+    rows = lines.select(F.inline_outer(F.transform("tokens", window)))
     rows = rows.filter(F.size("toks") == n)
     first, last = F.get("toks", F.lit(0)), F.get("toks", F.lit(n - 1))
     rows = rows.select(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.functions import text as T
+from glossmill.functions.rows import explode
 from glossmill.functions.stemming import stem as stem_column
 from glossmill.functions.stemming import stem_all
 from glossmill.operators.counting import JobCounters, check_unit, count_terms
@@ -72,11 +73,11 @@ def word_counts(
             toks = F.array_distinct(
                 F.transform(F.filter(toks, T.has_letter), lambda t: T.clean_word(t))
             )
-        words = df.select(*keep, F.explode(toks).alias("raw"))
+        words = explode(df, keep, toks, "raw")
         weight = None
     else:
         # Clean, stem and test each distinct token once, not each occurrence.
-        words = records.select(*keep, F.explode(toks).alias("raw"))
+        words = explode(records, keep, toks, "raw")
         words = words.groupBy(*keep, "raw").agg(F.count(F.lit(1)).alias("_w"))
         weight = F.col("_w")
         if stem:
@@ -99,7 +100,7 @@ def word_counts(
         headings = F.col("headings")
         if unit == "document":
             headings = F.array_distinct(headings)
-        words = words.select(F.explode(headings).alias("heading"), "word", *carried)
+        words = explode(words, ["word", *carried], headings, "heading")
         keys = ["heading", "word"]
     counts = count_terms(words, keys, min_freq, counters, weight)
     if late:
@@ -115,7 +116,5 @@ def stem_vocabulary(
 ) -> DataFrame:
     """Each distinct token with its stem and frequency: `token, stem, freq`."""
     toks = body_tokens(case_sensitive, skip_patterns, stem=True)
-    vocabulary = count_terms(
-        records.select(F.explode(toks).alias("token")), ["token"], 1
-    )
+    vocabulary = count_terms(explode(records, [], toks, "token"), ["token"], 1)
     return vocabulary.select("token", stem_column("token").alias("stem"), "freq")

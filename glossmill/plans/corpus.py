@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions import text as T
+from glossmill.functions.rows import explode
 
 STOP_WORDS = ["the", "of", "and", "to", "in", "de", "la", "le", "der", "die"]
 
@@ -14,13 +15,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, sf_dir: str, name: str, key: str, *columns):
+    """Key and columns of a text table, over all cores also where it is one file.
+
+    A table of few splits (one row group of text is minutes of work) is spread
+    by key; one with enough splits, so every large one, is read as it lies.
+    """
+    df = table(spark, sf_dir, name).select(key, *columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def pseudo_year() -> Column:
     return (F.lit(1990) + F.col("doc_id") % 25).cast("int")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`doc_id, year, headings, body`; one final [.?] of each line removed."""
-    return table(spark, sf_dir, "documents").select(
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    return docs.select(
         "doc_id",
         pseudo_year().alias("year"),
         F.array("source", "lang").alias("headings"),
@@ -30,14 +43,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`doc_id, body`: raw markup, rich in quotes, brackets and arrows."""
-    return table(spark, sf_dir, "pages").select(
+    return text_table(spark, sf_dir, "pages", "page_id", "html").select(
         F.col("page_id").alias("doc_id"), F.col("html").alias("body")
     )
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`doc_id, headings, body`: one record per turn, its role as heading."""
-    return table(spark, sf_dir, "conversations").select(
+    turns = text_table(spark, sf_dir, "conversations", "conv_id", "role", "text")
+    return turns.select(
         F.col("conv_id").alias("doc_id"),
         F.array("role").alias("headings"),
         F.col("text").alias("body"),
@@ -68,7 +82,8 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def marked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`value`: each document as a marked record."""
     wrapped = F.regexp_replace("text", r"(?m)^(.*)$", '<s n="1">$1</s>')
-    return table(spark, sf_dir, "documents").select(
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    return docs.select(
         F.concat(
             F.lit("_pubmed_id="), F.col("doc_id"), F.lit(":"), pseudo_year(),
             F.lit(" Jun 11:"), F.col("source"), F.lit("|"), F.col("lang"),
@@ -83,7 +98,8 @@ def chunked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = F.regexp_replace(
         F.regexp_replace("text", "\n", "\n[EOS]\n"), ", ?", "\n,\n"
     )
-    return table(spark, sf_dir, "documents").select(
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang")
+    return docs.select(
         F.concat(
             F.lit("_pubmed_id="), F.col("doc_id"), F.lit(":"), pseudo_year(),
             F.lit("\n_ArticleTitle_\n_AbstractText_\n"), pieces,
@@ -103,9 +119,8 @@ def _tags(toks: Column) -> Column:
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`tokens, pos` of each line that has a token."""
-    lines = documents(spark, sf_dir).select(
-        F.explode(T.sentences(F.col("body"))).alias("line")
-    )
+    docs = documents(spark, sf_dir)
+    lines = explode(docs, [], T.sentences(F.col("body")), "line")
     toks = lines.select(T.tokens(F.col("line")).alias("tokens"))
     toks = toks.filter(F.size("tokens") > 0)
     return toks.select("tokens", _tags(F.col("tokens")).alias("pos"))

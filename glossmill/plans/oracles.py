@@ -245,10 +245,11 @@ def _skip() -> str:
 
 # Suffix stripping with the measure of a stem as a pattern.
 _C, _V = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
-M0 = f"\\A(?:{_C})?{_V}{_C}"
-M1 = f"\\A(?:{_C})?{_V}{_C}(?:{_V})?\\z"
-M2 = f"\\A(?:{_C})?{_V}{_C}{_V}{_C}"
-HAS_VOWEL = f"\\A(?:{_C})?[aeiouy]"
+_START = f"\\A(?:{_C}{_V}|[aeiou]+)"  # a leading y is a consonant
+M0 = f"{_START}{_C}"
+M1 = f"{_START}{_C}(?:{_V})?\\z"
+M2 = f"{_START}{_C}{_V}{_C}"
+HAS_VOWEL = _START
 CVC = f"\\A{_C}[aeiouy][^aeiouwxy]\\z"
 
 
@@ -458,7 +459,9 @@ FROM tok WHERE len(t) > 0""",
         "ngram_sweep": _sweep(),
         "ngram2_markup": grams(2, PAGES) + count("gram", "gram", 2),
         "ngram1_markup": grams(1, PAGES) + count("gram", "gram", 2),
-        "ngram3_chat": _by_heading(grams(3, CHAT), "gram", "gram", "gram"),
+        "ngram3_chat": grams(3, CHAT)
+        + BY_HEADING.format("gram", "gram")
+        + count("h", "heading, gram", 2),
         "wordcount": words() + count("word", "word"),
         "wordcount_stop": words()
         + f", k AS (SELECT word FROM word WHERE word NOT IN {STOPS})"

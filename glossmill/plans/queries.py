@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import glossmill as g
 from glossmill.functions import text as T
+from glossmill.functions.rows import explode, posexplode
 from glossmill.operators import chunks as C
 from glossmill.plans import corpus
 from glossmill.sinks.tsv import to_lines
@@ -22,16 +23,12 @@ def _on(view, job, **options) -> Query:
 
 def tokens(spark, sf_dir):
     docs = corpus.documents(spark, sf_dir)
-    return docs.select(
-        "doc_id", F.posexplode(T.tokens(F.col("body"))).alias("at", "token")
-    )
+    return posexplode(docs, ["doc_id"], T.tokens(F.col("body")), "at", "token")
 
 
 def headings(spark, sf_dir):
     docs = corpus.headers(spark, sf_dir)
-    return docs.select(
-        "doc_id", F.posexplode(T.headings(F.col("header"))).alias("at", "heading")
-    )
+    return posexplode(docs, ["doc_id"], T.headings(F.col("header")), "at", "heading")
 
 
 def parse_marked_records(spark, sf_dir):
@@ -71,7 +68,7 @@ def chunk_filter(spark, sf_dir):
     records = g.parse_chunked(
         corpus.chunked_text(spark, sf_dir), stop_words=corpus.STOP_WORDS
     )
-    kept = records.select("doc_id", F.explode("chunks").alias("chunk"))
+    kept = explode(records, ["doc_id"], "chunks", "chunk")
     return kept.select("doc_id", C.normalise_chunk(F.col("chunk")).alias("term"))
 
 
@@ -130,7 +127,9 @@ QUERIES: dict[str, Query] = {
     "ngram_sweep": _on(corpus.documents, g.ngram_sweep),
     "ngram2_markup": _on(corpus.pages, g.ngrams, min_freq=2),
     "ngram1_markup": _on(corpus.pages, g.ngrams, n=1, min_freq=2),
-    "ngram3_chat": _on(corpus.conversations, g.ngrams, n=3, by_heading=True),
+    "ngram3_chat": _on(
+        corpus.conversations, g.ngrams, n=3, by_heading=True, min_freq=2
+    ),
     # words
     "wordcount": _on(corpus.documents, g.word_counts),
     "wordcount_stop": _on(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions import text as T
+from glossmill.functions.rows import explode
 from glossmill.operators import chunks as C
 
 # --- Fixed values: the file formats. ---
@@ -42,9 +43,7 @@ def _records(df: DataFrame, marker: str) -> DataFrame:
     well, and a marker that opens the value are found here.
     """
     opened = F.regexp_replace("value", F.lit(rf"\A{_BLANKS}{marker}"), F.lit(""))
-    return df.select(
-        F.explode(F.split(opened, _NEW_LINE + marker)).alias("record")
-    )
+    return explode(df, [], F.split(opened, _NEW_LINE + marker), "record")
 
 
 def _closed(records: DataFrame, marker: str, *columns: str) -> DataFrame:
