@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.functions import text as T
+from glossmill.functions.durable import durable
 from glossmill.functions.rows import explode
 from glossmill.functions.stemming import stem_all
 from glossmill.operators.counting import JobCounters, check_unit, count_terms
+from glossmill.operators.lookup import BROADCAST_BYTES, fits, join_listed
+
+# Every character the gram clean-up can remove.
+_CUT = "()\"';:,"
 
 
 def token_lines(
@@ -106,6 +111,72 @@ def stem_bodies(
     return marked.select(*keep, F.array_join("stems", " ").alias("body"))
 
 
+def _promising_runs(
+    lines: DataFrame, min_freq: int, broadcast_bytes: int
+) -> DataFrame:
+    """Distinct token lines reduced to the positions whose bigram is frequent:
+    `at: array<struct<i, token, next>>, copies`.
+
+    Clean-up only removes the characters of `_CUT`, so a gram is at most as
+    frequent as each bigram inside it once these are ignored. Positions of rarer
+    bigrams are in no gram of the result.
+    """
+    def with_bigrams(df: DataFrame, *keep: str) -> DataFrame:
+        bare = F.transform("tokens", lambda t: F.translate(t, _CUT, ""))
+        df = df.select(*keep, bare.alias("bare"))
+        return df.select(*keep, T.gram_windows(F.col("bare"), 2).alias("bigrams"))
+
+    bigrams = explode(with_bigrams(lines), [], "bigrams", "bigram")
+    often = durable(count_terms(bigrams, ["bigram"], min_freq))
+    small = fits(often, "bigram", broadcast_bytes)
+    # Copies of a line become one row, known by a digest of its content.
+    lines = lines.groupBy("tokens").agg(F.count(F.lit(1)).alias("copies"))
+    lines = with_bigrams(lines, "tokens", "copies")
+    line_id = F.unhex(F.sha2(F.array_join("tokens", " "), 256)).alias("line_id")
+    spots = F.transform(
+        "bigrams",
+        lambda b, i: F.struct(
+            b.alias("bigram"),
+            i.alias("i"),
+            F.get("tokens", i).alias("token"),
+            F.get("tokens", i + 1).alias("next"),
+        ),
+    )
+    lines = lines.select(line_id, "copies", spots.alias("spots"))
+    rows = lines.select("line_id", "copies", F.inline_outer("spots"))
+    rows = join_listed(
+        rows.filter(F.col("bigram").isNotNull()), often, "bigram", "freq", small
+    )
+    spot = F.struct("i", "token", "next")
+    return rows.groupBy("line_id", "copies").agg(
+        F.sort_array(F.collect_list(spot)).alias("at")
+    )
+
+
+def _run_windows(lo: int, hi: int) -> Column:
+    """Windows (n, gram) over positions that follow each other without a gap."""
+
+    def windows(x: Column, k: Column) -> Column:
+        found = []
+        gram = x["token"]
+        last = x
+        for n in range(2, hi + 1):
+            if n > 2:
+                last = F.get("at", k + (n - 2))
+                gram = F.concat(gram, F.lit(" "), last["token"])
+            whole = F.concat(gram, F.lit(" "), last["next"])
+            if n >= lo:
+                unbroken = last["i"] == x["i"] + (n - 2)
+                found.append(
+                    F.struct(
+                        F.lit(n).alias("n"), F.when(unbroken, whole).alias("gram")
+                    )
+                )
+        return F.array(*found)
+
+    return F.flatten(F.transform("at", windows))
+
+
 def ngram_sweep(
     records: DataFrame,
     lo: int = 2,
@@ -114,14 +185,29 @@ def ngram_sweep(
     case_sensitive: bool = True,
     skip_patterns: Sequence[str] = (),
     min_freq: int = 10,
+    prune: bool = True,
+    broadcast_bytes: int = BROADCAST_BYTES,
     counters: JobCounters | None = None,
 ) -> DataFrame:
-    """Occurrence counts of all n-grams, lo <= n <= hi, in one scan and shuffle."""
+    """Occurrence counts of all n-grams, lo <= n <= hi: `n, gram, freq`.
+
+    `prune` counts bigrams first (one job, its result checkpointed) and forms
+    longer grams only where every bigram reaches `min_freq`: instead of some
+    hi*hi/2 times the text, about the text and the frequent grams are shuffled.
+    The result is the same. Counters see the keys that are formed.
+    """
     lines = token_lines(
         records, case_sensitive=case_sensitive, skip_patterns=skip_patterns
     )
-    windows = T.gram_windows_between(F.col("tokens"), lo, hi)
-    raw = lines.select(F.inline_outer(windows))
+    if prune and min_freq > 1 and lo >= 2:
+        runs = _promising_runs(lines, min_freq, broadcast_bytes)
+        raw = runs.select("copies", F.inline_outer(_run_windows(lo, hi)))
+        weight = F.col("copies")
+        keep = ["copies"]
+    else:
+        windows = T.gram_windows_between(F.col("tokens"), lo, hi)
+        raw = lines.select(F.inline_outer(windows))
+        weight, keep = None, []
     valid = raw.filter(T.valid_raw_gram(F.col("gram")))
-    grams = valid.select("n", T.clean_gram(F.col("gram")).alias("gram"))
-    return count_terms(grams, ["n", "gram"], min_freq, counters)
+    grams = valid.select("n", *keep, T.clean_gram(F.col("gram")).alias("gram"))
+    return count_terms(grams, ["n", "gram"], min_freq, counters, weight)
