@@ -56,12 +56,12 @@ TOKEN = (
     r"|(?<![+-])[+-]++/[+-]++"
     r"|[(+])++"
 )
-_TRIMMED = "".join(map(chr, range(0x21)))
+TRIMMED = "".join(map(chr, range(0x21)))
 
 
 def java_trim(col: Column) -> Column:
     """Strip every leading and trailing character up to U+0020."""
-    return F.btrim(col, F.lit(_TRIMMED))
+    return F.btrim(col, F.lit(TRIMMED))
 
 
 def strip_patterns(body: Column, skip_patterns: Sequence[str] = ()) -> Column:

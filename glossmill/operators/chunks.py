@@ -21,7 +21,7 @@ END_PUNCTUATION = r" *[;:,.]+ ]\z"
 MIN_LENGTH = 8
 BAD_START = r"\A\[\w+ [)>,.]"
 TAG_AND_SYMBOLS = r"\A\[[A-Z]+ \W*"
-BAD_TEXT = r"\A(?:\s*|[\W\d]*|[Pp]\s?[=<](?:[\d\s.]+)?|[Ii]+)\z"
+BAD_TEXT = r"(?s)\A(?:.?|\s*|[\W\d]*|[Pp]\s?[=<](?:[\d\s.]+)?|[Ii]+)\z"
 ARTICLE = r"\A\[NP (?:[Aa]n?|[Tt]he) "
 LONE_CLOSER_IN_CHUNK = r"\A(\[[^()]+?)[\x00-\x20]*\) \]\z"
 # --- End of fixed values. ---
@@ -45,12 +45,10 @@ def chunk_text(framed: Column) -> Column:
 
 
 def valid_chunk(framed: Column) -> Column:
-    text = chunk_text(framed)
     return (
         (F.length(framed) >= MIN_LENGTH)
         & ~framed.rlike(BAD_START)
-        & (F.length(text) > 1)
-        & ~text.rlike(BAD_TEXT)
+        & ~chunk_text(framed).rlike(BAD_TEXT)
     )
 
 

@@ -36,35 +36,34 @@ def _scan(spark: SparkSession, path, marker: str) -> DataFrame:
     return spark.read.option("lineSep", "\n" + marker).text(paths)
 
 
-def _records(df: DataFrame, marker: str) -> DataFrame:
-    """One row `record` per opened record, its text after the marker.
+def _closed_records(df: DataFrame, opening: str, closing: str) -> DataFrame:
+    """One row `inner` per closed record: its text between the two markers.
 
-    The scan cuts at markers in the first column; indented ones, which count as
-    well, and a marker that opens the value are found here.
+    The scan cuts at opening markers in the first column; indented ones, which
+    count as well, and one that opens the value are found here. A record without
+    closing marker is dropped, as is text after it. All of it is one expression
+    below one generator, so a value is taken apart once.
     """
-    opened = F.regexp_replace("value", F.lit(rf"\A{_BLANKS}{marker}"), F.lit(""))
-    return explode(df, [], F.split(opened, _NEW_LINE + marker), "record")
-
-
-def _closed(records: DataFrame, marker: str, *columns: str) -> DataFrame:
-    """Text before the closing marker as `inner`; records without one are dropped."""
-    parts = F.split("record", _NEW_LINE + marker, 2)
-    cut = records.select(*columns, parts.alias("parts")).filter(F.size("parts") == 2)
-    return cut.select(*columns, F.get("parts", F.lit(0)).alias("inner"))
+    value = F.regexp_replace("value", F.lit(rf"\A{_BLANKS}{opening}"), F.lit(""))
+    records = F.split(value, _NEW_LINE + opening)
+    cut = F.transform(records, lambda r: F.split(r, _NEW_LINE + closing, 2))
+    closed = F.filter(cut, lambda parts: F.size(parts) == 2)
+    inner = F.transform(closed, lambda parts: F.get(parts, F.lit(0)))
+    return explode(df, [], inner, "inner")
 
 
 def _marked(df: DataFrame) -> DataFrame:
     """`header`, `lines`: trimmed body lines of closed records, markers dropped."""
-    inner = _closed(_records(df, RECORD_OPEN), RECORD_CLOSE)
+    inner = _closed_records(df, RECORD_OPEN, RECORD_CLOSE)
+    # Text before the first header of a file has no header of its own.
+    headed = inner.filter(
+        ~F.col("inner").rlike(rf"\A{_BLANKS}(?:_ArticleTitle_|_AbstractText_|<s |\[)")
+    )
     parts = F.split("inner", r"[\r\n]", 2)
-    halves = inner.select(
-        F.rtrim(F.get(parts, F.lit(0)), F.lit(T._TRIMMED)).alias("header"),
+    halves = headed.select(
+        F.rtrim(F.get(parts, F.lit(0)), F.lit(T.TRIMMED)).alias("header"),
         F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("rest"),
     )
-    # Text before the first header of a file has no header of its own.
-    headed = halves.filter(
-        ~F.ltrim("header").rlike(r"\A(?:_ArticleTitle_|_AbstractText_|<s |\[)")
-    )
 
     def kept(line: Column) -> Column:
         wanted = (line != "") & ~line.contains(TRUNCATED)
@@ -73,7 +72,7 @@ def _marked(df: DataFrame) -> DataFrame:
         return wanted
 
     lines = F.transform(F.split("rest", r"[\r\n]+"), T.java_trim)
-    return headed.select("header", F.filter(lines, kept).alias("lines"))
+    return halves.select("header", F.filter(lines, kept).alias("lines"))
 
 
 def parse_marked(df: DataFrame) -> DataFrame:
@@ -141,7 +140,7 @@ def read_chunked(
 
 def parse_tagged(df: DataFrame) -> DataFrame:
     """`tokens, pos` of each sentence that has a token, a tag and a closing line."""
-    inner = _closed(_records(df, TOKEN_LINE), CLOSING_LINE)
+    inner = _closed_records(df, TOKEN_LINE, CLOSING_LINE)
     tags = F.regexp_extract("inner", rf"(?s).*{_NEW_LINE}{TAG_LINE}([^\r\n]*)", 1)
     rows = inner.filter(F.col("inner").rlike(_NEW_LINE + TAG_LINE))
     words = F.get(F.split("inner", r"[\r\n]", 2), F.lit(0))
