@@ -121,8 +121,8 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`tokens, pos` of each line that has a token."""
     docs = documents(spark, sf_dir)
     lines = explode(docs, [], T.sentences(F.col("body")), "line")
+    lines = lines.filter(F.col("line").rlike(T.TOKEN))
     toks = lines.select(T.tokens(F.col("line")).alias("tokens"))
-    toks = toks.filter(F.size("tokens") > 0)
     return toks.select("tokens", _tags(F.col("tokens")).alias("pos"))
 
 
