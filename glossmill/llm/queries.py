@@ -35,20 +35,20 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
 WITH lines AS (
-  SELECT doc_id, coalesce(source, chr(0)) AS site, i AS at, string_split(text, chr(10))[i] AS line
+  SELECT doc_id, coalesce(source, chr(0)) AS site, i AS pos, string_split(text, chr(10))[i] AS line
   FROM documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS u(i)
 ), long_lines AS (
   SELECT * FROM lines
   WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 5
 ), shared AS (
-  SELECT line, min((doc_id, at)) AS place FROM long_lines
+  SELECT line, min((doc_id, pos)) AS place FROM long_lines
   GROUP BY line HAVING count(DISTINCT site) >= 10
 ), kept AS (
-  SELECT l.doc_id, l.at, l.line, s.line IS NOT NULL AND (l.doc_id, l.at) <> s.place AS gone
+  SELECT l.doc_id, l.pos, l.line, s.line IS NOT NULL AND (l.doc_id, l.pos) <> s.place AS gone
   FROM lines l LEFT JOIN shared s USING (line)
 )
 SELECT doc_id,
-       coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '') AS text,
+       coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text,
        count(*) AS n_lines,
        count(*) FILTER (gone) AS n_removed
 FROM kept GROUP BY doc_id
