@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from glossmill.llm import lines, mixing, quality
+from glossmill.llm import lines, mixing, neardup, quality
 from glossmill.llm.common import table
 
 
@@ -26,10 +26,16 @@ def op5_mixing(spark, sf_dir):
     return mixing.fair_mix(docs)
 
 
+def op7_minhash(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.near_duplicates(docs, size=2)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
+    "op7_minhash": op7_minhash,
 }
 
 ORACLES: dict[str, str] = {
