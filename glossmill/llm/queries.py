@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from glossmill.llm import lines, mixing, neardup, quality
+from glossmill.llm import bpe, lines, mixing, neardup, quality
 from glossmill.llm.common import table
 
 
@@ -26,6 +27,24 @@ def op5_mixing(spark, sf_dir):
     return mixing.fair_mix(docs)
 
 
+def encoded_digests(docs):
+    """Digests of the ids of each text and of the bytes they decode to."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    both = bpe.decode(coded, ranks)
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(joined, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op6_bpe(spark, sf_dir):
+    return encoded_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_minhash(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return neardup.near_duplicates(docs, size=2)
@@ -35,6 +54,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
+    "op6_bpe": op6_bpe,
     "op7_minhash": op7_minhash,
 }
 
