@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import re
 import zlib
 from collections import Counter
@@ -25,8 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HEAD = 400_000  # most frequent words whose ids every task holds (about 80 MB)
-BUCKETS = 8192  # of the rank map: a lookup reads one bucket of a few entries
+from glossmill.llm.common import let, stored
+
+HEAD = 1_000_000  # most frequent words whose ids every task holds (about 150 MB)
+BUCKETS = 65536  # of the rank map: a lookup reads one bucket of a few entries
+SHORT = 32  # characters of a word that may be held by every task
 LONG = 128  # bytes of a word above which pairs are joined with a heap
 PARTIAL = 300_000  # distinct units a task counts before it hands them on
 CACHE = 200_000  # units a task remembers
@@ -44,95 +48,94 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """The ranks as one literal: an array of small maps, chosen by hash."""
-    buckets: list[list[str]] = [[] for _ in range(BUCKETS)]
-    for piece, rank in ranks.items():
-        buckets[zlib.crc32(piece) % BUCKETS].append(f"X'{piece.hex()}',{rank}")
-    maps = (f"map({','.join(b)})" if b else "cast(map() as map<binary,int>)" for b in buckets)
-    return F.expr(f"array({','.join(maps)})")
+def byte_string(word: Column) -> Column:
+    """The UTF-8 bytes of a word as a string of one character per byte."""
+    return F.decode(F.encode(word, "UTF-8"), "ISO-8859-1")
 
 
-def _rank(table: Column, piece: Column) -> Column:
-    bucket = (F.crc32(piece) % BUCKETS).cast("int")
-    return F.try_element_at(F.get(table, bucket), piece)
+def rank_map(ranks: dict[bytes, int]) -> Column:
+    """The ranks as one literal: an array of small maps, chosen by hash.
+
+    Written as JSON, which the optimizer turns into a value when it plans.
+    """
+    buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
+    for piece, rank in ranks.items():
+        key = piece.decode("latin-1")
+        buckets[zlib.crc32(key.encode()) % BUCKETS][key] = rank
+    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")
 
 
 def fold(word: Column, table: Column) -> Column:
-    """Token ids of a word (binary): merges by rank folded over its bytes.
+    """Token ids of a word (see `byte_string`): merges by rank folded over its bytes.
 
     The state is the array of pieces and the rank of each with its right
     neighbour; a step joins the leftmost pair of lowest rank and looks up the two
     ranks that changed. Steps after the last possible merge leave it as it is.
     """
+    return let(table, lambda t: let(word, lambda w: _fold(w, t)))
+
+
+def _fold(word: Column, table: Column) -> Column:
     none = F.lit(2**31 - 1)
 
     def rank(piece):
-        return F.coalesce(_rank(table, piece), none)
-
-    single = F.transform(
-        F.sequence(F.lit(1), F.length(word)), lambda i: F.substring(word, i, F.lit(1))
-    )
+        bucket = (F.crc32(piece.cast("binary")) % BUCKETS).cast("int")
+        found = F.try_element_at(F.get(table, bucket), piece)
+        return F.coalesce(found, none)
 
-    def start(bytes_):
-        pairs = F.transform(
-            F.slice(bytes_, F.lit(1), F.size(bytes_) - 1),
-            lambda b, i: rank(F.concat(b, F.get(bytes_, i + 1))),
-        )
-        return F.struct(bytes_.alias("p"), pairs.alias("r"))
+    def spliced(*arrays):
+        return F.flatten(F.array(*arrays))
 
-    def join(state):
+    def pair(state, low):
         pieces, ranks = state["p"], state["r"]
-        least = F.array_min(ranks)
-
-        def at(i):  # from 1: the pair of pieces i and i + 1
-            i = i.cast("int")
-            joined = F.concat(F.get(pieces, i - 1), F.get(pieces, i))
-            merged = F.concat(
-                F.slice(pieces, F.lit(1), i - 1),
-                F.array(joined),
-                F.slice(pieces, i + 2, F.size(pieces)),
-            )
-            left = F.when(
-                i > 1,
-                F.array(rank(F.concat(F.get(pieces, F.greatest(i - 2, F.lit(0))), joined))),
-            ).otherwise(F.array().cast("array<int>"))
-            right = F.when(
-                i + 1 < F.size(pieces),
-                F.array(rank(F.concat(joined, F.get(pieces, i + 1)))),
-            ).otherwise(F.array().cast("array<int>"))
-            changed = F.concat(
-                F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))),
-                left,
-                right,
-                F.slice(ranks, i + 2, F.size(ranks)),
-            )
-            return F.struct(merged.alias("p"), changed.alias("r"))
 
-        def step(low):
-            return F.when(
-                low < none,
-                F.get(F.transform(F.array(F.array_position(ranks, low)), at), F.lit(0)),
-            ).otherwise(state)
+        def joined_at(i):  # from 1: the pair of pieces i and i + 1
+            def joined(piece):
+                left = F.when(
+                    i > 1, F.array(rank(F.concat(F.get(pieces, i - 2), piece)))
+                ).otherwise(F.array().cast("array<int>"))
+                right = F.when(
+                    i + 1 < F.size(pieces),
+                    F.array(rank(F.concat(piece, F.get(pieces, i + 1)))),
+                ).otherwise(F.array().cast("array<int>"))
+                # flatten() of slices is cheaper to interpret than concat() of arrays.
+                return F.struct(
+                    spliced(
+                        F.slice(pieces, F.lit(1), i - 1),
+                        F.array(piece),
+                        F.slice(pieces, i + 2, F.size(pieces)),
+                    ).alias("p"),
+                    spliced(
+                        F.slice(ranks, F.lit(1), F.greatest(i - 2, F.lit(0))),
+                        left,
+                        right,
+                        F.slice(ranks, i + 2, F.size(pieces)),
+                    ).alias("r"),
+                )
+
+            return let(F.concat(F.get(pieces, i - 1), F.get(pieces, i)), joined)
 
-        return F.get(F.transform(F.array(least), step), F.lit(0))
+        return let(F.array_position(ranks, low).cast("int"), joined_at)
 
-    def merged(bytes_):
-        # get() of an empty array is NULL, so a byte's state needs no case of its own.
+    def step(state, _):
+        least = F.coalesce(F.array_min(state["r"]), none)
+        return let(least, lambda low: F.when(low == none, state).otherwise(pair(state, low)))
+
+    def merged(single):
+        pairs = F.transform(
+            F.slice(single, F.lit(1), F.size(single) - 1),
+            lambda b, i: rank(F.concat(b, F.get(single, i + 1))),
+        )
         return F.aggregate(
-            F.sequence(F.lit(1), F.greatest(F.size(bytes_) - 1, F.lit(1))),
-            start(bytes_),
-            lambda state, _: join_or_keep(state),
-            lambda state: F.transform(state["p"], lambda p: rank(p)),
+            F.slice(single, F.lit(1), F.size(single) - 1),
+            F.struct(single.alias("p"), pairs.alias("r")),
+            step,
+            lambda state: F.transform(state["p"], rank),
         )
 
-    def join_or_keep(state):
-        done = F.coalesce(F.array_min(state["r"]), none) == none
-        return F.when(done, state).otherwise(join(state))
-
-    whole = _rank(table, word)
-    pieces = F.get(F.transform(F.array(single), merged), F.lit(0))
-    return F.when(whole.isNotNull(), F.array(whole)).otherwise(pieces)
+    whole = rank(word)
+    pieces = let(F.split(word, ""), merged)
+    return F.when(whole < none, F.array(whole)).otherwise(pieces)
 
 
 def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -174,7 +177,7 @@ def _count_task(pattern: str):
             found: Counter = Counter()
             for unit, n in units.items():
                 for word in split(unit):
-                    if len(word) <= LONG // 4:
+                    if len(word) <= SHORT:
                         found[word] += n
             return pa.record_batch(
                 {
@@ -247,14 +250,23 @@ def _encode_task(pattern: str, head, ranks):
 
 
 def frequent_words(docs: DataFrame, pattern: str, text: str = "text", head: int = HEAD) -> DataFrame:
-    """`word, n`: the `head` most frequent words of all texts, ties by word.
+    """`word, n`: all words from some frequency on, `head` at most and none found once.
 
-    Only words of under a hundred characters are looked at; longer ones are not
-    worth a place. Counts are exact, over every document.
+    Only words of at most 32 characters are looked at, which bounds the size of the
+    table; longer ones are not worth a place. Counts are exact, over every document.
     """
     counted = docs.select(F.col(text)).mapInArrow(_count_task(pattern), "word string, n long")
-    total = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    return total.orderBy(F.desc("n"), "word").limit(head)
+    total = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # Frequencies in steps of a quarter of a power of two: some hundred numbers.
+    step = F.floor(F.log2("n") * 4).alias("step")
+    sizes = total.filter("n > 1").groupBy(step).agg(F.count("*"), F.min("n")).collect()
+    room, least = head, None
+    for _, words, n in sorted(sizes, reverse=True):
+        room -= words
+        if room < 0:
+            break
+        least = n
+    return total.filter(F.col("n") >= least) if least else total.limit(0)
 
 
 def encode(
@@ -274,7 +286,7 @@ def encode(
     spark = docs.sparkSession
     table = rank_map(ranks)
     frequent = frequent_words(docs, pattern, text, head).select(
-        "word", fold(F.encode("word", "UTF-8"), table).alias("ids")
+        "word", fold(byte_string(F.col("word")), table).alias("ids")
     )
     known = {}
     for rows in frequent.toArrow().to_batches():
@@ -291,7 +303,10 @@ def encode(
     schema = schema.add("__ids", T.ArrayType(T.IntegerType()))
     schema = schema.add("__own", T.ArrayType(T.StringType()))
     coded = slim.mapInArrow(_encode_task(pattern, *shared), schema)
-    own = F.transform("__own", lambda w: fold(F.encode(w, "UTF-8"), table))
+    own = let(
+        table,
+        lambda t: F.transform("__own", lambda w: let(byte_string(w), lambda b: _fold(b, t))),
+    )
     coded = coded.select(*columns, "__ids", own.alias("__codes"))
     full = F.flatten(
         F.transform(

@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from glossmill.llm import bpe, lines, mixing, neardup, quality
-from glossmill.llm.common import table
+from glossmill.llm import bpe, lines, mixing, neardup, quality, tokens
+from glossmill.llm.common import scratch, table
 
 
 def op1_line_dedup(spark, sf_dir):
@@ -50,12 +50,20 @@ def op7_minhash(spark, sf_dir):
     return neardup.near_duplicates(docs, size=2)
 
 
+def op8_token_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = scratch(spark, "tokens")
+    tokens.write_tokens(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return tokens.read_tokens(spark, folder)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_bpe": op6_bpe,
     "op7_minhash": op7_minhash,
+    "op8_token_files": op8_token_files,
 }
 
 ORACLES: dict[str, str] = {
