@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from glossmill.llm import bpe, lines, mixing, neardup, quality, tokens
+from glossmill.llm import bpe, lines, mixing, neardup, quality, tokens, warc
 from glossmill.llm.common import scratch, table
 
 
@@ -14,6 +14,12 @@ def op1_line_dedup(spark, sf_dir):
     return lines.without_boilerplate(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op3_warc(spark, sf_dir):
+    folder = scratch(spark, "warc")
+    warc.write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    return warc.read_warc(spark, folder)
+
+
 def op4_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judged(docs, keep=["doc_id"]).select(
@@ -59,6 +65,7 @@ def op8_token_files(spark, sf_dir):
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op3_warc": op3_warc,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
     "op6_bpe": op6_bpe,
