@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from glossmill.llm import bpe, lines, mixing, neardup, quality, tokens, warc
+from glossmill.llm import bitslice, bpe, lines, mixing, neardup, quality, tokens, warc
 from glossmill.llm.common import scratch, table
 
 
@@ -63,6 +63,10 @@ def op8_token_files(spark, sf_dir):
     return tokens.read_tokens(spark, folder)
 
 
+def op9_top_k(spark, sf_dir):
+    return bitslice.top_k(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_warc": op3_warc,
@@ -71,9 +75,26 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op7_minhash": op7_minhash,
     "op8_token_files": op8_token_files,
+    "op9_top_k": op9_top_k,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_top_k": """
+WITH scaled AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM scaled q, scaled c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
     "op1_line_dedup": r"""
 WITH lines AS (
   SELECT doc_id, coalesce(source, chr(0)) AS site, i AS pos, string_split(text, chr(10))[i] AS line
