@@ -7,11 +7,11 @@ coordinate is filled, and agreement between two sketches is as concentrated arou
 the similarity as if elements were sampled without replacement.
 
 Documents with equal sets form a class, compared once. Classes that agree in a
-whole band share a bucket. Each is verified against one member of the bucket;
-after that, where a bucket still spans several components, members outside its
-largest component are verified against all members of other components. A pair
-that is left out is connected already, so no link between components is lost,
-and no bucket is ever expanded into all of its pairs.
+whole band share a bucket. In a few rounds, every member of a bucket that still
+spans several components is verified against one member drawn from it. After that,
+members outside a bucket's largest component are verified against all members of
+other components. A pair that is left out is connected already, so no link between
+components is lost, and no bucket is expanded into all of its pairs.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ from glossmill.llm.components import components
 
 BANDS, ROWS = 36, 5  # misses a pair at similarity 0.8 with probability 6e-7
 COORDINATES = BANDS * ROWS
+STARS = 4  # rounds in which a bucket's members meet one of them
 CACHE = 300_000  # word hashes a worker holds at a time
 _U = np.uint64
 
@@ -207,49 +208,16 @@ def near_duplicates(
     shared = each.groupBy("band").count().filter("count > 1").select("band")
     members = stored(each.join(shared, "band"), "buckets")
 
-    # A star per bucket: everyone against the member with the least hash.
-    centre = F.struct(F.xxhash64("node").alias("h"), F.col("node"), F.col("__n"))
-    heads = members.groupBy("band").agg(F.min(centre).alias("c"))
-    close = "100 * least(__n, m) >= {0} * greatest(__n, m)".format(percent)
-    star = (
-        members.join(heads.select("band", "c.node", "c.__n").toDF("band", "head", "m"), "band")
-        .filter(F.col("node") != F.col("head"))
-        .filter(close)
-        .select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"))
-        .distinct()
-    )
-    star = stored(star, "pairs")
     texts = _texts(slim, classes, members, size)
-    links = stored(_verified(star, texts, size, percent), "verified")
-    roots = stored(components(links), "roots")
-
-    # Buckets of several components: the rest against all members.
-    placed = members.join(roots, "node", "left").withColumn(
-        "root", F.coalesce("root", "node")
-    )
-    placed = stored(placed, "placed")
-    per_root = placed.groupBy("band", "root").count()
-    most = per_root.groupBy("band").agg(
-        F.max(F.struct("count", "root"))["root"].alias("main"), F.count("*").alias("roots")
-    )
-    mixed = placed.join(most.filter("roots > 1").select("band", "main"), "band")
-    rest = mixed.filter("root <> main").select(
-        "band", F.col("node").alias("other"), F.col("__n").alias("m"), F.col("root").alias("its")
-    )
-    across = (
-        rest.join(mixed.select("band", "node", "__n", "root"), "band")
-        .filter("root <> its")
-        .filter(close)
-        .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    more = _verified(across, texts, size, percent)
-    links = stored(links.select("a", "b").union(more.select("a", "b")), "verified")
-    roots = components(links)
-
-    rooted = classes.select("node", "__d0", "__d1", "__first").join(roots, "node", "left")
-    rooted = rooted.withColumn("root", F.coalesce("root", "node"))
+    live = members.withColumn("root", F.col("node"))
+    roots = classes.select("node", F.col("node").alias("root"))
+    tested = None
+    for at in range(STARS):
+        live, pairs = _star(live, at, percent)
+        live, roots, tested = _joined(live, roots, tested, pairs, texts, size, percent)
+    _, roots, _ = _joined(live, roots, tested, _rest(live, percent), texts, size, percent)
+
+    rooted = classes.select("node", "__d0", "__d1", "__first").join(roots, "node")
     least = rooted.groupBy("root").agg(F.min("__first").alias("__least"))
     named = rooted.join(least, "root").select("__d0", "__d1", "__least")
     out = sketched.select("__key", "__n", "__d0", "__d1").join(named, ["__d0", "__d1"], "left")
@@ -262,6 +230,73 @@ def near_duplicates(
     )
 
 
+def _mixed(live: DataFrame) -> DataFrame:
+    """Members of the buckets that span several components."""
+    spans = live.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    return live.join(spans.filter("lo < hi").select("band"), "band")
+
+
+def _pairs(joined: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes whose set sizes allow for a link, from (node, n) and (other, m)."""
+    sizes = f"100 * least(__n, m) >= {percent} * greatest(__n, m)"
+    return joined.filter(sizes).select(
+        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
+    )
+
+
+def _star(live: DataFrame, at: int, percent: int):
+    """Mixed buckets, and the pairs of their members with one member drawn from each.
+
+    The draw differs by bucket and round, so a class meets another partner in each
+    bucket it is in.
+    """
+    live = stored(_mixed(live), "live")
+    draw = F.struct(
+        F.xxhash64("node", "band", F.lit(at)).alias("h"), "node", "__n", "root"
+    )
+    heads = live.groupBy("band").agg(F.min(draw).alias("c"))
+    heads = heads.select("band", "c.node", "c.__n", "c.root").toDF("band", "other", "m", "its")
+    return live, _pairs(live.join(heads, "band").filter("root <> its"), percent)
+
+
+def _rest(live: DataFrame, percent: int) -> DataFrame:
+    """Of mixed buckets, all pairs of which one is outside the largest component."""
+    live = _mixed(live)
+    most = (
+        live.groupBy("band", "root")
+        .count()
+        .groupBy("band")
+        .agg(F.max(F.struct("count", "root"))["root"].alias("main"))
+    )
+    rest = live.join(most, "band").filter("root <> main")
+    rest = rest.select("band", "node", "__n", "root").toDF("band", "other", "m", "its")
+    return _pairs(rest.join(live, "band").filter("root <> its"), percent)
+
+
+def _joined(live, roots, tested, pairs, texts, size, percent):
+    """Verify pairs not tested before and join the components of those that pass."""
+    pairs = pairs.distinct()
+    if tested is not None:
+        pairs = pairs.join(tested, ["a", "b"], "left_anti")
+    pairs = stored(pairs, "pairs")
+    links = _verified(pairs, texts, size, percent)
+    for end in ("a", "b"):
+        ends = roots.toDF(end, f"root_{end}")
+        links = links.join(ends, end)
+    merged = components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    merged = stored(merged.toDF("root", "new"), "merged")
+
+    def moved(df):
+        new = F.coalesce("new", "root").alias("root")
+        return df.join(merged, "root", "left").select(
+            *[c for c in df.columns if c != "root"], new
+        )
+
+    roots = stored(moved(roots).select("node", "root"), "roots")
+    tested = pairs if tested is None else tested.union(pairs)
+    return moved(live), roots, tested
+
+
 def _texts(slim, classes, members, size):
     """`node, text`: one text of every class that shares a bucket."""
     wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
