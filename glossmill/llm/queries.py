@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from glossmill.llm import bitslice, bpe, lines, mixing, neardup, quality, tokens, warc
+from glossmill.llm import bitslice, bpe, lines, mixing, neardup, quality, tokens, toxicity, warc
 from glossmill.llm.common import scratch, table
 
 
@@ -67,6 +67,12 @@ def op9_top_k(spark, sf_dir):
     return bitslice.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return toxicity.score(docs, labels)
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_warc": op3_warc,
@@ -76,6 +82,7 @@ QUERIES = {
     "op7_minhash": op7_minhash,
     "op8_token_files": op8_token_files,
     "op9_top_k": op9_top_k,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {
