@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from glossmill.llm import lines, mixing, quality
+from glossmill.llm import lines, mixing, neardup, quality, queries
 from glossmill.llm.common import stored, table
 
 
@@ -18,15 +18,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lines.cleaned_documents(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id."""
+    return neardup.distinct_documents(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixed_documents(docs)
 
 
+def byte_pairs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Digests of each text's token ids and of the bytes they decode to."""
+    return queries.encoded_digests(docs.select("doc_id", "text"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
+    ("near dedup", near_dedup),
     ("source mix", source_mix),
+    ("byte pairs", byte_pairs),
 ]
 
 # Byte-pair merges and similarity classes have no SQL; tests hold a brute-force run.

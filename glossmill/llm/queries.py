@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from glossmill.llm import bitslice, bpe, lines, mixing, neardup, quality, tokens, toxicity, warc
+from glossmill.llm import bitslice, bpe, lines, mixing, neardup, quality, surrogates, tokens, toxicity, warc
 from glossmill.llm.common import scratch, table
 
 
@@ -14,6 +14,11 @@ def op1_line_dedup(spark, sf_dir):
     return lines.without_boilerplate(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op2_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.replaced(docs, key=b"a key of this query's own")
+
+
 def op3_warc(spark, sf_dir):
     folder = scratch(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
@@ -75,6 +80,7 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_pii": op2_pii,
     "op3_warc": op3_warc,
     "op4_quality": op4_quality,
     "op5_mixing": op5_mixing,
