@@ -25,9 +25,10 @@ from pyspark.sql import types as T
 from glossmill.llm import shards
 
 FILE_BYTES = 64 << 20  # compressed size at which a file is rolled
-SHARD_ROWS = 20_000  # pages of a shard, on average
+SHARD_ROWS = 5_000  # pages of a shard, on average
 SAMPLE = 64  # ids sampled per shard
 LEVEL = 6
+_SLICE = 8192
 
 # Fixed values of the format.
 _VERSION = b"WARC/1.1"
@@ -119,16 +120,26 @@ def _write_task(folder: str, file_bytes: int):
             parts, held, at, records = [], 0, at + 1, 0
             return pa.RecordBatch.from_pylist([row])
 
+        marks: dict[str, tuple] = {}
+        names = ("__shard", "__key", "__url", "__mark", "__refers", "__refers_url")
+        last = None
         for batch in batches:
             pages = batch.column("__payload").cast(pa.large_binary())
-            columns = [batch.column(c) for c in ("__shard", "__key", "__url", "__refers", "__refers_url")]
+            columns = [batch.column(c) for c in names]
             for i in range(batch.num_rows):
-                its, key, url, refers, refers_url = (c[i].as_py() for c in columns)
+                its, key, url, mark, refers, refers_url = (c[i].as_py() for c in columns)
+                if (its, key) != last:
+                    marks, last = {}, (its, key)
+                if mark is not None:
+                    marks[mark] = (refers, refers_url)
+                    continue
                 if parts and (its != shard or held >= file_bytes):
                     yield roll()
                 if its != shard:
                     shard, at = its, 0
-                data = _gzip(record(key, url, pages[i].as_py() or b"", refers, refers_url))
+                payload = pages[i].as_py() or b""
+                earlier = marks.get(hashlib.sha1(payload).hexdigest(), (None, None))
+                data = _gzip(record(key, url, payload, *earlier))
                 parts.append(data)
                 held += len(data)
                 records += 1
@@ -161,12 +172,15 @@ def write_warc(
         F.col(payload).cast("string").alias("__payload"),
     )
     payload_bytes = F.coalesce("__payload", F.lit("")).cast("binary")
-    named = slim.withColumn("__digest", F.unhex(F.sha1(payload_bytes)))
+    named = slim.select(
+        "__key", "__url", F.sha1(payload_bytes).alias("__digest"),
+        F.length(payload_bytes).alias("__size"),
+    )
     # A third of all pages may be one payload: partial minima come first and nothing
     # of a group is gathered.
     place = F.struct("__key", "__url")
     first = (
-        named.filter(F.length(payload_bytes) >= revisit_bytes)
+        named.filter(F.col("__size") >= revisit_bytes)
         .groupBy("__digest")
         .agg(
             F.count("*").alias("n"),
@@ -187,18 +201,29 @@ def write_warc(
             at[missing] = 0
             yield batch.append_column("__shard", pa.array(at.astype(np.int32)))
 
-    marked = named.join(first, "__digest", "left")
-    later = F.col("__first").isNotNull() & ~F.col("__key").eqNullSafe(F.col("__first.__key"))
-    marked = marked.select(
+    # Revisits are told to the writer by rows of their own, sorted before the page's:
+    # payloads are moved once, to their shards, and joined with nothing.
+    later = ~F.col("__key").eqNullSafe(F.col("__first.__key"))
+    marks = named.join(first, "__digest").filter(later)
+    marks = marks.select(
         "__key",
-        "__url",
-        "__payload",
-        F.when(later, F.col("__first.__key")).alias("__refers"),
-        F.when(later, F.col("__first.__url")).alias("__refers_url"),
+        F.lit(None).cast("string").alias("__url"),
+        F.lit(None).cast("string").alias("__payload"),
+        F.col("__digest").alias("__mark"),
+        F.col("__first.__key").alias("__refers"),
+        F.col("__first.__url").alias("__refers_url"),
+    )
+    marked = marks.unionByName(
+        slim.select(
+            "*",
+            F.lit(None).cast("string").alias("__mark"),
+            F.lit(None).cast("long").alias("__refers"),
+            F.lit(None).cast("string").alias("__refers_url"),
+        )
     )
     schema = T.StructType([*marked.schema.fields, T.StructField("__shard", T.IntegerType())])
     placed = marked.mapInArrow(shard_of, schema)
-    order = ["__shard", "__key", "__url", F.xxhash64("__payload")]
+    order = ["__shard", "__key", F.col("__mark").isNull(), "__url", F.xxhash64("__payload")]
     sharded = placed.repartitionById(len(points) + 1, "__shard").sortWithinPartitions(*order)
     written = sharded.mapInArrow(
         _write_task(folder, file_bytes),
@@ -208,12 +233,23 @@ def write_warc(
     return shards.commit(folder, parts, "pages-{:08d}.warc.gz")
 
 
+def _members(data: bytes) -> Iterator[bytes]:
+    """Contents of the gzip members; fed in small slices, as what follows is copied."""
+    view, at = memoryview(data), 0
+    while at < len(view):
+        unpacker, parts = zlib.decompressobj(31), []
+        while not unpacker.eof:
+            if at >= len(view):
+                raise ValueError("the file ends within a record")
+            parts.append(unpacker.decompress(view[at : at + _SLICE]))
+            at += _SLICE
+        at = min(at, len(view)) - len(unpacker.unused_data)
+        yield b"".join(parts)
+
+
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of each record of a file of gzip members."""
-    while data:
-        packer = zlib.decompressobj(31)
-        raw = packer.decompress(data) + packer.flush()
-        data = packer.unused_data
+    for raw in _members(data):
         head, _, rest = raw.partition(b"\r\n\r\n")
         version, *lines = head.decode().split("\r\n")
         headers = dict(line.split(": ", 1) for line in lines)
