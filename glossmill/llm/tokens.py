@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from glossmill.llm import packing, shards
 
 FILE_IDS = 4_000_000  # ids of a file, up to one document more
-CACHE = 300_000  # chunks whose ids a worker remembers
+CACHE = 1_000_000  # short chunks whose ids a worker remembers (about 200 MB)
 _BATCH = 2048  # chunks encoded at once
 
 
@@ -46,15 +46,25 @@ def _encoder(path: str):
     """
     tokenizer, known = _tokenizer(path)
 
+    def stem(chunk: bytes) -> bytes:
+        """The chunk without a last mark that is a token of its own after a letter."""
+        return chunk[:-1] if chunk[-1:] in (b".", b",") and chunk[-2:-1].islower() else chunk
+
     def encode(texts: list[bytes]) -> list[np.ndarray]:
-        chunked = [text.split() for text in texts]
+        # The tokenizer lowers all letters; ASCII ones may be lowered before.
+        chunked = [text.lower().split() for text in texts]
         new = list({c for chunks in chunked for c in chunks if c not in known})
+        stems = list({s for s in map(stem, new) if s not in known} | {b".", b","})
         fresh: dict[bytes, bytes] = {}
-        for at in range(0, len(new), _BATCH):
-            some = new[at : at + _BATCH]
-            coded = tokenizer.encode_batch([c.decode() for c in some], add_special_tokens=False)
+        for at in range(0, len(stems), _BATCH):
+            some = stems[at : at + _BATCH]
+            coded = tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
             for chunk, ids in zip(some, coded, strict=True):
                 fresh[chunk] = np.array(ids.ids, "<u4").tobytes()
+        for chunk in new:
+            if chunk not in fresh:
+                short = stem(chunk)
+                fresh[chunk] = (known.get(short) or fresh[short]) + fresh[chunk[-1:]]
 
         def find(chunk):
             ids = known.get(chunk)
@@ -63,7 +73,7 @@ def _encoder(path: str):
         out = [np.frombuffer(b"".join(map(find, c)), "<u4") for c in chunked]
         if len(known) + len(fresh) > CACHE:
             known.clear()
-        known.update((c, i) for c, i in fresh.items() if len(c) <= 32 and len(known) < CACHE)
+        known.update((c, i) for c, i in fresh.items() if len(c) <= 32)
         return out
 
     return encode
