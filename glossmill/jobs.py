@@ -86,8 +86,6 @@ def result(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, ob
         return df, df.columns[:-1]
     if args.job == "chunk-counts":
         by = "doc_id" if args.by_document else "year"
-        if options.get("stop_words") is not None and options["skip_patterns"]:
-            options["stop_words"] = g.read_stop_words(spark, args.stop_words)
         df = g.chunk_counts(g.read_chunked(spark, args.source), by, **options)
         return df, g.yearly_key(by)
     return g.rolling_term_sum(g.read_yearly(spark, args.source)), g.trend_key()

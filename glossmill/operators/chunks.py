@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossmill.functions import text as T
-from glossmill.functions.rows import explode
+from glossmill.functions.rows import explode, posexplode
 from glossmill.operators.counting import JobCounters, count_terms
 from glossmill.operators.words import without_stop_words
 
@@ -17,13 +17,15 @@ from glossmill.operators.words import without_stop_words
 TAGGED = r"\A\[[A-Z]+ "
 FRAME_OPEN = "[NP "
 FRAME_CLOSE = " ]"
-END_PUNCTUATION = r" *[;:,.]+ ]\z"
+END_PUNCTUATION = r"(?:(?<! ) ++|(?<![ ;:,.]))[;:,.]++ ]\z"
 MIN_LENGTH = 8
 BAD_START = r"\A\[\w+ [)>,.]"
 TAG_AND_SYMBOLS = r"\A\[[A-Z]+ \W*"
 BAD_TEXT = r"(?s)\A(?:.?|\s*|[\W\d]*|[Pp]\s?[=<](?:[\d\s.]+)?|[Ii]+)\z"
 ARTICLE = r"\A\[NP (?:[Aa]n?|[Tt]he) "
-LONE_CLOSER_IN_CHUNK = r"\A(\[[^()]+?)[\x00-\x20]*\) \]\z"
+LONE_CLOSER_IN_CHUNK = (
+    r"\A(\[(?:[^()]*[^()\x00-\x20]|[\x00-\x20]))[\x00-\x20]*+\) \]\z"
+)
 # --- End of fixed values. ---
 
 
@@ -77,15 +79,15 @@ def chunk_counts(
         raise ValueError("by must be 'year' or 'doc_id'")
     if skip_patterns:
         # A pattern sees the whole record, tabs between its chunks.
-        kept = F.filter("chunks", _not_listed(stop_words))
-        joined = F.array_join(kept, "\t")
+        records = chunks
+        if isinstance(stop_words, DataFrame):
+            records = _without_listed(chunks, by, stop_words)
+        joined = F.array_join(F.filter("chunks", _not_listed(stop_words)), "\t")
         joined = joined if case_sensitive else F.lower(joined)
         joined = reduce(
             lambda c, p: F.regexp_replace(c, F.lit(p), F.lit("")), skip_patterns, joined
         )
-        if isinstance(stop_words, DataFrame):
-            raise ValueError("with skip_patterns give stop_words as a list")
-        rows = explode(chunks, [by], F.split(joined, "\t"), "chunk")
+        rows = explode(records, [by], F.split(joined, "\t"), "chunk")
     else:
         rows = explode(chunks, [by], "chunks", "chunk")
         if stop_words is not None:
@@ -99,6 +101,26 @@ def chunk_counts(
     return count_terms(terms, [by, "term"], min_freq, counters)
 
 
+def _without_listed(chunks: DataFrame, by: str, stop_words: DataFrame) -> DataFrame:
+    """`by, chunks` of each record without its listed chunks, in their order.
+
+    Chunks leave their record for the anti-join and are put together again by the
+    digest of the record, with the number of records that are equal.
+    """
+    whole = chunks.select(by, "chunks").groupBy(by, "chunks").agg(F.count("*").alias("_n"))
+    digest = F.sha2(F.to_json(F.struct(by, "chunks")), 256).alias("_record")
+    each = posexplode(whole.select(by, "_n", "chunks", digest), [by, "_n", "_record"], "chunks", "_at", "chunk")
+    left = without_stop_words(each, chunk_text(F.col("chunk")), stop_words)
+    again = left.groupBy("_record", by, "_n").agg(
+        F.sort_array(F.collect_list(F.struct("_at", "chunk"))).alias("_chunks")
+    )
+    return again.select(
+        by,
+        F.transform("_chunks", lambda c: c["chunk"]).alias("chunks"),
+        F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))),
+    ).drop("col")
+
+
 def _not_listed(stop_words):
     def test(chunk):
         if not stop_words or isinstance(stop_words, DataFrame):

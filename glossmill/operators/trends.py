@@ -5,24 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from glossmill.operators.counting import JobCounters
+
+
+MAX_YEARS = 100_000  # years a term may span; every one of them becomes a row
+_MODES = ("fail", "drop")
+
 
 def rolling_term_sum(
-    yearly: DataFrame, span: int = 10, min_history: int = 4
+    yearly: DataFrame,
+    span: int = 10,
+    min_history: int = 4,
+    malformed: str = "fail",
+    counters: JobCounters | None = None,
 ) -> DataFrame:
     """Sum of each term's frequency over `span` years from every start year:
     `term, start_year, end_year, freq`.
 
     Start years run from the first year of a term, also through years without
     data, as long as at least `min_history` years are left until its last one;
-    a window is cut at the last year. Rows with a year that has not four digits
-    are no yearly counts and are left out, which also bounds a term's years.
+    a window is cut at the last year. A year is any whole number; one that is none
+    fails the job or, with malformed="drop", loses its row. A term whose years span
+    more than MAX_YEARS fails the job in either mode.
     """
-    year = F.col("year").cast("string")
-    years = yearly.filter(year.rlike(r"\A\d{4}\z"))
-    # One row per (term, year); from here on a term has at most 10,000 rows.
-    totals = years.groupBy("term", year.try_cast("int").alias("year")).agg(
-        F.sum("freq").cast("bigint").alias("freq")
-    )
+    if malformed not in _MODES:
+        raise ValueError(f"malformed must be one of {_MODES}")
+    year = F.col("year").cast("string").try_cast("int")
+    rows = yearly.select("term", year.alias("year"), "freq", F.col("year").alias("_raw"))
+    if malformed == "drop":
+        rows = rows.filter(F.col("year").isNotNull())
+    else:
+        message = F.concat(F.lit("bad year: "), F.coalesce(F.col("_raw").cast("string"), F.lit("NULL")))
+        rows = rows.withColumn("year", F.coalesce("year", F.raise_error(message).cast("int")))
+    if counters is not None:
+        rows = counters.on_emitted(rows, F.count(F.lit(1)))
+    totals = rows.groupBy("term", "year").agg(F.sum("freq").cast("bigint").alias("freq"))
     of_term = Window.partitionBy("term")
     in_order = of_term.orderBy("year")
     placed = totals.select(
@@ -32,7 +49,14 @@ def rolling_term_sum(
         F.lead("year").over(in_order).alias("next_year"),
         F.max("year").over(of_term).alias("last"),
         F.min("year").over(of_term).alias("first"),
-    ).filter(F.col("last") - F.col("first") >= min_history)
+    ).filter(F.col("last").cast("long") - F.col("first") >= min_history)
+    wide = F.col("last").cast("long") - F.col("first") > MAX_YEARS
+    placed = placed.withColumn(
+        "last",
+        F.when(~wide, F.col("last")).otherwise(
+            F.raise_error(F.concat(F.lit("too many years: "), "term")).cast("int")
+        ),
+    )
     # Fill the years up to the next row with zero.
     until = F.coalesce(F.col("next_year") - 1, F.col("year"))
     dense = placed.select(
@@ -50,7 +74,7 @@ def rolling_term_sum(
         .alias("_freq"),
     )
     ahead = of_term.orderBy("start_year").rangeBetween(0, span - 1)
-    return (
+    sums = (
         dense.withColumn("freq", F.sum("_freq").over(ahead))
         .filter(F.col("last") - F.col("start_year") >= min_history)
         .select(
@@ -60,3 +84,4 @@ def rolling_term_sum(
             "freq",
         )
     )
+    return sums if counters is None else counters.on_kept(sums)

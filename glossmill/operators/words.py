@@ -78,6 +78,10 @@ def word_counts(
     else:
         # Clean, stem and test each distinct token once, not each occurrence.
         words = explode(records, keep, toks, "raw")
+        if by_heading:
+            # Few headings and words recur, lists of headings seldom do.
+            words = explode(words, ["raw"], "headings", "heading")
+            keep = ["heading"]
         words = words.groupBy(*keep, "raw").agg(F.count(F.lit(1)).alias("_w"))
         weight = F.col("_w")
         if stem:
@@ -97,10 +101,9 @@ def word_counts(
     words = words.select(*keep, word, *carried)
     keys = ["word"]
     if by_heading:
-        headings = F.col("headings")
         if unit == "document":
-            headings = F.array_distinct(headings)
-        words = explode(words, ["word", *carried], headings, "heading")
+            headings = F.array_distinct("headings")
+            words = explode(words, ["word", *carried], headings, "heading")
         keys = ["heading", "word"]
     counts = count_terms(words, keys, min_freq, counters, weight)
     if late:

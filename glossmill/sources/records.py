@@ -27,7 +27,10 @@ CLOSING_LINE = "CNK:"
 # --- End of fixed values. ---
 
 _BLANKS = r"[\x00-\x20]*"
-_NEW_LINE = r"[\r\n]" + _BLANKS
+# A line end with the blanks around it; starts once per run of blanks.
+_NEW_LINE = (
+    r"(?<![\x00-\x20])[\x00-\x09\x0B\x0C\x0E-\x20]*+[\r\n][\x00-\x20]*+"
+)
 _MODES = ("fail", "drop")
 
 

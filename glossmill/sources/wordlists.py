@@ -7,34 +7,40 @@ import warnings
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-# Entries that may travel inside a query plan. A longer list stays a table.
-LIST_LIMIT = 10_000
 
 
-def read_word_table(spark: SparkSession, path) -> DataFrame:
-    """`word` table of a list of any length, for the operators' `stop_words`."""
-    return spark.read.text(path).toDF("word")
+def _lines(spark: SparkSession, path) -> DataFrame | None:
+    """Lines of a file, or None with a warning where it cannot be read."""
+    try:
+        return spark.read.text(path)
+    except AnalysisException as error:
+        warnings.warn(f"no entries read from {path}: {error}", stacklevel=3)
+        return None
+
 
+def read_word_table(spark: SparkSession, path) -> DataFrame:
+    """`word` table of a list of any length, for the operators' `stop_words`.
 
-def _bounded(df: DataFrame, path) -> list[str]:
-    rows = df.take(LIST_LIMIT + 1)
-    if len(rows) > LIST_LIMIT:
-        raise ValueError(f"{path} has over {LIST_LIMIT} entries; read it as a table")
-    return [row[0] for row in rows]
+    A missing list means no words, with a warning.
+    """
+    lines = _lines(spark, path)
+    if lines is None:
+        return spark.createDataFrame([], "word string")
+    return lines.toDF("word")
 
 
 def read_stop_words(spark: SparkSession, path) -> list[str]:
-    """Words of a short list. A missing list means no stop words, with a warning."""
-    try:
-        return _bounded(spark.read.text(path), path)
-    except AnalysisException as error:
-        warnings.warn(f"no stop words read from {path}: {error}", stacklevel=2)
-        return []
+    """Words of a list that is to travel inside query plans; see `read_word_table`.
+
+    A missing list means no stop words, with a warning.
+    """
+    lines = _lines(spark, path)
+    return [] if lines is None else [row[0] for row in lines.collect()]
 
 
 def read_skip_patterns(spark: SparkSession, *paths: str) -> list[str]:
     """Regular expressions of one or more files, files and lines in order."""
     patterns: list[str] = []
     for path in paths:
-        patterns += _bounded(spark.read.text(path).coalesce(1), path)
+        patterns += [row[0] for row in spark.read.text(path).coalesce(1).collect()]
     return [p for p in patterns if p]

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
@@ -67,7 +69,7 @@ def test_marked_scan_across_splits(spark, tmp_path):
     assert got == [(i, [f"H{i}"]) for i in range(500)]
 
 
-CHUNKED = """_pubmed_id=18772103:2009
+CHUNKED = """_pubmed_id=40404:2009
 _ArticleTitle_
 [NP The MAP kinase ]
 , and
@@ -90,7 +92,7 @@ _pubmed_id_end_
 def test_chunked_scan(spark, tmp_path):
     (tmp_path / "c.txt").write_text(CHUNKED)
     df = g.read_chunked(spark, str(tmp_path))
-    assert rows(df, "doc_id", "year") == [("18772103", "2009")]
+    assert rows(df, "doc_id", "year") == [("40404", "2009")]
     assert df.first().chunks == [
         "[NP The MAP kinase ]", "[NP MAP kinase) ]", "[NP many bacteria ]",
         "[NP and ]", "[NP foo ]", "[VP (CNS) ]",
@@ -178,7 +180,7 @@ def test_tagged_scan_and_ngrams(spark, tmp_path):
 
 def test_yearly_scan(spark, tmp_path):
     (tmp_path / "y.txt").write_text(
-        "2003_[NP MAP kinase ]\t197\n2004_a_b\t3\textra\nbad line\n18772103_x\tq\n"
+        "2003_[NP MAP kinase ]\t197\n2004_a_b\t3\textra\nbad line\n40404_x\tq\n"
     )
     got = rows(g.read_yearly(spark, str(tmp_path), malformed="drop"))
     assert got == [(2003, "[NP MAP kinase ]", 197), (2004, "a_b", 3)]
@@ -195,6 +197,40 @@ def test_word_lists(spark, tmp_path):
     with pytest.warns(UserWarning):
         assert g.read_stop_words(spark, str(tmp_path / "none.txt")) == []
     assert g.read_word_table(spark, str(tmp_path / "w.txt")).columns == ["word"]
+    with pytest.warns(UserWarning):
+        assert g.read_word_table(spark, str(tmp_path / "none.txt")).count() == 0
+    (tmp_path / "long.txt").write_text("".join(f"w{i}\n" for i in range(50_000)))
+    assert len(g.read_skip_patterns(spark, str(tmp_path / "long.txt"))) == 50_000
+    assert len(g.read_stop_words(spark, str(tmp_path / "long.txt"))) == 50_000
+
+
+def test_chunk_stop_table_with_skip_patterns(spark):
+    df = spark.createDataFrame(
+        [("1", "2000", ["[NP and ]", "[NP MAP kinase) ]", "[NP many bacteria ]"])] * 2
+        + [("2", "2001", ["[NP and ]"])],
+        "doc_id string, year string, chunks array<string>",
+    )
+    table = spark.createDataFrame([("and",)], "word string")
+    options = dict(min_freq=1, skip_patterns=[r"MAP kinase\) \]\t\[NP "])
+    listed = rows(g.chunk_counts(df, stop_words=["and"], **options))
+    assert rows(g.chunk_counts(df, stop_words=table, **options)) == listed
+    assert listed == [("2000", "[NP many bacteria ]", 2)]
+
+
+def test_patterns_take_linear_time(spark):
+    n = 1_000_000
+    values = [
+        ("_pubmed_id=1:2000" + "\n" * n + "x",),
+        ("_pubmed_id=1:2000\n[NP a" + "." * n + "x ]\n_pubmed_id_end_",),
+        ("_pubmed_id=1:2000\n[NP a" + " " * n + "x) ]\n_pubmed_id_end_",),
+        ("TOK:a" + "\n " * n + "x",),
+    ]
+    df = spark.createDataFrame(values, "value string")
+    start = time.perf_counter()
+    g.chunk_counts(g.parse_chunked(df), min_freq=1).collect()
+    g.parse_marked(df).collect()
+    g.parse_tagged(df).collect()
+    assert time.perf_counter() - start < 60
 
 
 def test_tsv_round_trip(spark, tmp_path):

@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pytest
 from conftest import rows
+from pyspark.errors import PySparkException
 
 import glossmill as g
 
@@ -52,13 +53,26 @@ def test_gap_years_and_other_parameters(spark):
     assert rows(g.rolling_term_sum(df, span=3, min_history=1)) == brute_force(data, 3, 1)
 
 
-def test_years_must_have_four_digits(spark):
+def test_any_whole_number_is_a_year(spark):
+    data = [(900 + i, "a", 1) for i in range(8)] + [(-3, "b", 2), (12005, "c", 1), (12010, "c", 1)]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert rows(g.rolling_term_sum(df)) == brute_force(data)
+
+
+def test_what_is_no_year_fails_or_goes(spark):
     df = spark.createDataFrame(
-        [("2000", "a", 1), ("2004", "a", 1), ("18772103", "a", 5), ("abcd", "a", 5)],
+        [("2000", "a", 1), ("2004", "a", 1), ("abcd", "a", 5), (None, "a", 5)],
         "year string, term string, freq long",
     )
-    assert rows(g.rolling_term_sum(df)) == [("a", 2000, 2004, 2)]
-
+    with pytest.raises(PySparkException):
+        g.rolling_term_sum(df).collect()
+    counters = g.JobCounters()
+    got = rows(g.rolling_term_sum(df, malformed="drop", counters=counters))
+    assert got == [("a", 2000, 2004, 2)]
+    assert (counters.emitted, counters.kept) == (2, 1)
+    wide = spark.createDataFrame([(0, "a", 1), (10**9, "a", 1)], SCHEMA)
+    with pytest.raises(PySparkException):
+        g.rolling_term_sum(wide).collect()
 
 def test_chain_thresholds_before_the_trend(spark):
     chunks = spark.createDataFrame(
