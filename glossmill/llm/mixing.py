@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from glossmill.llm.common import stored, word_count
 
-SLICE_ROWS = 20_000  # documents of a queue slice, on average
+SLICE_ROWS = 2_000  # documents of a queue slice, on average
 INTERVALS = 1024  # intervals a range of finish times is cut into at once
 
 
