@@ -6,9 +6,10 @@ import pytest
 import __spark_entry__ as entry_file
 import glossmill as g
 from glossmill.plans import corpus
+from glossmill.plans.oracles import ORACLES
+from glossmill.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_file.queries(), entry_file.oracle_sql()
 
 
 def plan(df):
@@ -21,6 +22,8 @@ def test_entry(spark):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_file.queries())
+    assert set(ORACLES) <= set(entry_file.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
