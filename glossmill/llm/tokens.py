@@ -53,7 +53,7 @@ def _encoder(path: str):
     def encode(texts: list[bytes]) -> list[np.ndarray]:
         # The tokenizer lowers all letters; ASCII ones may be lowered before.
         chunked = [text.lower().split() for text in texts]
-        new = list({c for chunks in chunked for c in chunks if c not in known})
+        new = [c for c in set().union(*chunked) if c not in known]
         stems = list({s for s in map(stem, new) if s not in known} | {b".", b","})
         fresh: dict[bytes, bytes] = {}
         for at in range(0, len(stems), _BATCH):
@@ -66,11 +66,13 @@ def _encoder(path: str):
                 short = stem(chunk)
                 fresh[chunk] = (known.get(short) or fresh[short]) + fresh[chunk[-1:]]
 
-        def find(chunk):
-            ids = known.get(chunk)
-            return fresh[chunk] if ids is None else ids
+        def ids_of(chunks):
+            ids = list(map(known.get, chunks))
+            if None in ids:
+                ids = [fresh[c] if i is None else i for c, i in zip(chunks, ids, strict=True)]
+            return np.frombuffer(b"".join(ids), "<u4")
 
-        out = [np.frombuffer(b"".join(map(find, c)), "<u4") for c in chunked]
+        out = list(map(ids_of, chunked))
         if len(known) + len(fresh) > CACHE:
             known.clear()
         known.update((c, i) for c, i in fresh.items() if len(c) <= 32)
