@@ -53,7 +53,10 @@ _ENTITY = re.compile(
     r"|(?P<name>(?<!\w)(?:" + _NAMES + r")\.? [^\W\d_a-zà-þа-яё][^\W\d_]+(?:[ -][^\W\d_a-zà-þа-яё][^\W\d_]+){0,2})"
 )
 #: Without one of these a text holds none of the above.
-_HINT = re.compile(r"[\d@]|(?<!\w)(?:" + _NAMES + r")\.? \w")
+_HINT = re.compile(
+    r"[\d@]|(?<!\w)(?:" + _NAMES + r")\.? \w"
+    r"|(?i:key|token|secret|password|passwd)\s{0,3}[=:]|AKIA|ASIA|ghp_|gho_|sk-|xox[abp]-"
+)
 _KEYED = re.compile(r"\A(\s*[=:]\s*[\"']?)(.*)\Z", re.S)
 
 
