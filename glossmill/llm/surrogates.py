@@ -47,9 +47,9 @@ _ENTITY = re.compile(
     r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))"
     r"|(?P<phone>(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}[ .-]?\d{2,4}(?:[ .-]\d{2,4})?(?![\w]))"
     r"|(?P<intl>(?<![\w.+])\+\d{8,15}(?!\w))"
-    r"|(?P<hex>(?<!\w)(?=[0-9A-Fa-f]*?\d)[0-9A-Fa-f]{32,128}(?!\w))"
-    r"|(?P<key>(?i:(?<=key)|(?<=token)|(?<=secret)|(?<=password)|(?<=passwd))\s{0,3}[=:]\s{0,3}[\"']?[\w./+=-]{12,200})"
-    r"|(?P<aws>(?<!\w)(?:AKIA|ASIA|ghp_|gho_|sk-|xox[abp]-)[\w-]{12,100})"
+    r"|(?P<hex>(?<!\w)(?=[0-9A-Fa-f]*?\d)[0-9A-Fa-f]{32,}+(?!\w))"
+    r"|(?P<key>(?i:(?<=key)|(?<=token)|(?<=secret)|(?<=password)|(?<=passwd))\s{0,3}[=:]\s{0,3}[\"']?[\w./+=-]{12,}+)"
+    r"|(?P<aws>(?<!\w)(?:AKIA|ASIA|ghp_|gho_|sk-|xox[abp]-)[\w-]{12,}+)"
     r"|(?P<name>(?<!\w)(?:" + _NAMES + r")\.? [^\W\d_a-zà-þа-яё][^\W\d_]+(?:[ -][^\W\d_a-zà-þа-яё][^\W\d_]+){0,2})"
 )
 #: Without one of these a text holds none of the above.

@@ -19,3 +19,23 @@ def spans(text):
 def test_secrets_without_digits(lead, value):
     assert spans(lead + value) == [("secret", value)]
     assert spans(f"{lead}{value} 7") == [("secret", value)]  # the same next to a digit
+
+
+@pytest.mark.parametrize("n", [129, 201, 100_000])
+def test_long_secrets(n):
+    for lead, value in (
+        ("token: ", "x" * n),
+        ("", "ghp_" + "y" * n),
+        ("", "0a" * (n // 2 + 1)),
+    ):
+        assert spans(f"{lead}{value}, end") == [("secret", value)]
+        new = surrogates.surrogate(b"k", "secret", value, 0)
+        assert len(new) == len(value) and new != value
+    # Equal but for the last character: two entities.
+    ends = {spans("token: " + "x" * n + c)[0] for c in "ab"}
+    assert len(ends) == 2
+
+
+def test_long_runs_are_linear():
+    for text in ("0a" * 500_000 + "é", "token=" * 200_000, "sk-" * 400_000, "a" * 1_000_000 + " 1"):
+        list(surrogates.found(text))
