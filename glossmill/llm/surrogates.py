@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 from glossmill.llm.common import digest_key, stored
 
+PHONE_DIGITS = 7
+WIDEN = 8  # attempts after which a surrogate gets more signs than its entity
 FEW = 200_000  # redrawn entities that are given to every task; more are joined
 
 # Titles that tell gender, and letters by script and gender of a
@@ -39,13 +41,32 @@ _SYLLABLES = {
 _GENDER = {title: gender for gender, titles in _TITLES.items() for title in titles}
 
 _NAMES = "|".join(sorted((re.escape(t) for t in _GENDER), key=len, reverse=True))
+# A number is a phone's if a country or area code shows: +, brackets, a leading 0,
+# or groups as numbers are written in; dates, years and table cells are none.
+_DATE = (
+    r"(?:(?:1[5-9]|20|21)\d\d[ .-][01]?\d[ .-][0-3]?\d(?!\d)"
+    r"|[0-3]?\d[ .-][0-3]?\d[ .-](?:1[5-9]|20|21)\d\d(?!\d)"
+    r"|\(?(?:1[5-9]|20|21)\d\d\)?[ .-](?:1[5-9]|20|21)\d\d(?!\d))"
+)
+_GROUPS = r"\d{1,4}(?:[ .-]?\d{2,4}){1,4}"
+_PHONES = (
+    r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?" + _GROUPS,
+    r"\((?!(?:19|20)\d\d\))\d{2,4}\)[ .-]?" + _GROUPS,
+    r"0\d(?P<s1>[ .-])\d\d(?:(?P=s1)\d\d){3}",
+    r"0\d{1,4}[ .-](?=\d{0,8}[ .-]?\d{3})\d{2,8}(?:[ .-]\d{2,4}){0,3}",
+    r"(?<!\d[.-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![.-]?\d)",
+    r"(?<!\d[.-])[6-9]\d{2}(?P<s2>[ .-])\d{3}(?P=s2)\d{3}(?![ .-]?\d)",
+    r"(?<!\d[.-])\d{2,3}[ .-]\d{3}(?P<s3>[ .-])\d\d(?P=s3)\d\d(?![.-]?\d)",
+    r"(?<!\d[.-])\d{3}-\d{4}(?![.-]?\d)",
+)
+
 _ENTITY = re.compile(
     r"(?P<email>(?<![\w.+-])[\w+-]++(?:\.[\w+-]++)*+@[^\W_](?:[\w-]*+)(?:\.[^\W_][\w-]*+)+)"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))"
-    r"|(?P<phone>(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{2,4}[ .-]?\d{2,4}(?:[ .-]\d{2,4})?(?![\w]))"
+    r"|(?P<phone>(?<![\w.+])(?!" + _DATE + r")(?:" + "|".join(_PHONES) + r")(?!\w))"
     r"|(?P<intl>(?<![\w.+])\+\d{8,15}(?!\w))"
     r"|(?P<hex>(?<!\w)(?=[0-9A-Fa-f]*?\d)[0-9A-Fa-f]{32,}+(?!\w))"
     r"|(?P<key>(?i:(?<=key)|(?<=token)|(?<=secret)|(?<=password)|(?<=passwd))\s{0,3}[=:]\s{0,3}[\"']?[\w./+=-]{12,}+)"
@@ -65,6 +86,8 @@ def _parts(kind: str, mention: str) -> list[tuple[str, str, int, int]]:
     if kind == "key":
         lead = _KEYED.match(mention)[1]
         kind, start = "secret", len(lead)
+        if not re.search(r"[^\W_]", mention[start:]):
+            return []  # a drawn line hides nothing, and has no other surrogate
         return [(kind, mention[start:], start, len(mention))]
     if kind in ("hex", "aws"):
         return [("secret", mention, 0, len(mention))]
@@ -83,7 +106,8 @@ def _parts(kind: str, mention: str) -> list[tuple[str, str, int, int]]:
             at += len(word)
         return out
     if kind in ("intl", "phone"):
-        return [("phone", re.sub(r"\D", "", mention), 0, len(mention))]
+        digits = re.sub(r"\D", "", mention)
+        return [("phone", digits, 0, len(mention))] if len(digits) >= PHONE_DIGITS else []
     if kind in ("card", "iban"):
         return [(kind, re.sub(r"[ -]", "", mention), 0, len(mention))]
     return [(kind, mention, 0, len(mention))]
@@ -123,8 +147,22 @@ def _luhn(digits: list[int]) -> int:
 
 
 def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
-    """The canonical form of the entity that stands for this one."""
+    """The canonical form of the entity that stands for this one.
+
+    Where so many attempts failed that no surrogate of this format may be left, it
+    gets one sign more with each further attempt, so one is always found.
+    """
     draw = _Draw(key, kind, canonical, attempt)
+    new = _same_format(draw, kind, canonical, attempt)
+    if attempt < WIDEN or kind == "ip" or kind.startswith("name-"):
+        return new
+    more = range(attempt - WIDEN + 1)
+    if kind == "email":
+        return "".join(chr(97 + draw.below(26)) for _ in more) + new
+    return new + "".join(str(draw.below(10)) for _ in more)
+
+
+def _same_format(draw: _Draw, kind: str, canonical: str, attempt: int) -> str:
     if kind == "email":
         local, _, domain = canonical.rpartition("@")
         local = "".join(_same_class(c, draw) for c in local)
@@ -141,8 +179,9 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int) -> str:
     if kind == "iban":
         return canonical[:2] + "".join(_same_class(c, draw) for c in canonical[2:])
     if kind == "phone":
-        # The leading digit (of a country or trunk code) stays.
-        return canonical[0] + "".join(str(draw.below(10)) for _ in canonical[1:])
+        # The leading digit (of a country or trunk code) stays while that leaves a choice.
+        first = canonical[0] if attempt < WIDEN // 2 else str(1 + draw.below(9))
+        return first + "".join(str(draw.below(10)) for _ in canonical[1:])
     if kind == "secret" and re.fullmatch("[0-9A-Fa-f]+", canonical):
         signs = "0123456789ABCDEF" if canonical.isupper() else "0123456789abcdef"
         return "".join(signs[draw.below(16)] for _ in canonical)
@@ -164,7 +203,7 @@ def _shown(kind: str, mention: str, new: str) -> str:
     """The surrogate in the format of the mention."""
     if kind in ("phone", "card", "iban"):
         signs = iter(new)
-        return "".join(next(signs) if c.isalnum() else c for c in mention)
+        return "".join(next(signs) if c.isalnum() else c for c in mention) + "".join(signs)
     if kind == "email" or kind.startswith("name-"):
         if mention.isupper():
             return new.upper()

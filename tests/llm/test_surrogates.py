@@ -39,3 +39,35 @@ def test_long_secrets(n):
 def test_long_runs_are_linear():
     for text in ("0a" * 500_000 + "é", "token=" * 200_000, "sk-" * 400_000, "a" * 1_000_000 + " 1"):
         list(surrogates.found(text))
+
+
+CLEAN = [
+    "2021-03-14", "14.03.2021", "03 14 2021", "1999-2004", "(1999) 2004-2010", "10 20 30",
+    "10 20 30 40 50", "100 200 300 400", "12-34-56", "key = ____________", "2021 2022 2023",
+]
+PHONES = [
+    "+1 (411) 555-1507", "(411) 555-1507", "411-555-1507", "1-411-555-1507", "555-1507",
+    "+49 30 1234 5678", "030 1234567", "01 23 45 67 89", "0151-2345678", "912 345 678",
+    "495 123-45-67", "+44 20 7946 0958", "(020) 7946 0958", "+33 1 23 45 67 89", "+15550123456",
+]
+
+
+def test_clean_numbers_stay():
+    for text in CLEAN:
+        assert spans(f"see {text}, end") == [], text
+
+
+def test_phones_are_found_whole():
+    for text in PHONES:
+        assert spans(f"call {text}, end") == [("phone", text)], text
+
+
+def test_a_full_class_gets_longer_surrogates(spark):
+    # All e-mails with one-letter local part and host that surrogates can have.
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    mails = [f"{a}@{b}.example.{c}" for a in letters for b in letters for c in ("com", "net", "org")]
+    docs = spark.createDataFrame([(m,) for m in mails], "text string")
+    out = [r["text"] for r in surrogates.replaced(docs, b"k").collect()]
+    assert len(set(out)) == len(mails) and not set(out) & set(mails)
+    phone = surrogates.surrogate(b"k", "phone", "4115551507", surrogates.WIDEN)
+    assert len(phone) == 11 and surrogates._shown("phone", "(411) 555-1507", phone)[-1] == phone[-1]
