@@ -71,3 +71,26 @@ def test_a_full_class_gets_longer_surrogates(spark):
     assert len(set(out)) == len(mails) and not set(out) & set(mails)
     phone = surrogates.surrogate(b"k", "phone", "4115551507", surrogates.WIDEN)
     assert len(phone) == 11 and surrogates._shown("phone", "(411) 555-1507", phone)[-1] == phone[-1]
+
+
+def test_untitled_mentions_of_titled_names():
+    text = "John came. Mr John Smith said. Smith signed, SMITH's note. John agreed with Smithers."
+    names = [text[lo:hi] for kind, _, lo, hi in surrogates.found(text) if kind.startswith("name")]
+    assert names == ["John", "John", "Smith", "Smith", "SMITH", "John"]
+    assert len({(k, c) for k, c, _, _ in surrogates.found(text)}) == 2
+    # No part of a name, though it stands in one with a capital.
+    text = "Dr Miller The report and the date, the end, the. The miller. Miller, jo.miller@x.com."
+    assert [w for _, w in spans(text)] == ["Miller", "The", "Miller", "jo.miller@x.com"]
+
+
+def test_greek_titles():
+    text = "Ο κ. Παπαδόπουλος ήρθε. Η κα Άννα Νίκου, ο Παπαδόπουλος, κ λέξη."
+    assert [w for _, w in spans(text)] == ["Παπαδόπουλος", "Άννα", "Νίκου", "Παπαδόπουλος"]
+
+
+def test_mentions_share_a_surrogate(spark):
+    docs = spark.createDataFrame([("Mr John Smith said. Smith signed. John agreed.",)], "text string")
+    row = surrogates.replaced(docs, b"k").first()
+    words = row["text"].replace(".", "").split()
+    assert row["n_replaced"] == 4 and words[1] == words[6] and words[2] == words[4]
+    assert not {"John", "Smith"} & set(words)
