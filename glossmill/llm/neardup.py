@@ -24,13 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossmill.llm.common import stored
+from glossmill.llm.common import digest_key, stored
 from glossmill.llm.components import components
 
 BANDS, ROWS = 36, 5  # misses a pair at similarity 0.8 with probability 6e-7
 COORDINATES = BANDS * ROWS
 STARS = 4  # rounds in which a bucket's members meet one of them
 CACHE = 300_000  # word hashes a worker holds at a time
+ROW = "struct<r0: long, r1: long>"  # names a row by its content
 _U = np.uint64
 
 
@@ -80,7 +81,7 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
 
 def sketches(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
     """A row of `t` values per non-empty set; all rows at once, round by round."""
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], np.int64)
     owner = np.repeat(np.arange(len(sets)), sizes)
     items = np.concatenate(sets) if sets else np.empty(0, _U)
     empty = np.iinfo(np.uint64).max
@@ -133,6 +134,7 @@ def _sketch_task(size: int):
                 yield pa.record_batch(
                     {
                         "__key": part.column("__key"),
+                        "__row": part.column("__row"),
                         "__n": pa.array([len(s) for s in sets], pa.int64()),
                         "__d0": pa.array(digest[:, 0]),
                         "__d1": pa.array(digest[:, 1]),
@@ -184,20 +186,44 @@ def near_duplicates(
     NULL key never names a component that has another key; such a row is not kept
     unless all its component lacks keys. An empty table gives an empty one.
     """
-    spark = docs.sparkSession
-    slim = docs.select(F.col(key).cast("long").alias("__key"), F.col(text).alias("__text"))
+    slim = docs.select(
+        F.col(key).cast("long").alias("__key"),
+        F.col(text).alias("__text"),
+        F.lit(None).cast(ROW).alias("__row"),
+    )
+    sketched, rooted = _components(slim, size, percent)
+    least = rooted.groupBy("root").agg(F.min("__first").alias("__least"))
+    named = rooted.join(least, "root").select("__d0", "__d1", "__least")
+    out = sketched.select("__key", "__n", "__d0", "__d1").join(named, ["__d0", "__d1"], "left")
+    component = F.when(F.col("__n") > 0, F.col("__least")).otherwise(F.col("__key"))
+    return out.select(
+        F.col("__key").alias(key),
+        F.col("__n").alias("n_shingles"),
+        component.alias("component_id"),
+        F.col("__key").eqNullSafe(component).alias("kept"),
+    )
+
+
+def _components(slim: DataFrame, size: int, percent: int):
+    """The sketched rows, and `__first, __best, root` of each class of equal sets.
+
+    `__best` names the row of the class with the smallest key, NULL keys last, and
+    among these the smallest `__row`.
+    """
     sketched = stored(
         slim.mapInArrow(
             _sketch_task(size),
-            "__key long, __n long, __d0 long, __d1 long, __bands array<long>",
+            f"__key long, __row {ROW}, __n long, __d0 long, __d1 long, __bands array<long>",
         ),
         "sketches",
     )
+    best = F.struct(F.col("__key").isNull().alias("none"), "__key", "__row")
     classes = (
         sketched.filter("__n > 0")
         .groupBy("__d0", "__d1")
         .agg(
             F.min("__key").alias("__first"),
+            F.min(best).alias("__best"),
             F.first("__n").alias("__n"),
             F.first("__bands").alias("__bands"),
         )
@@ -217,17 +243,8 @@ def near_duplicates(
         live, roots, tested = _joined(live, roots, tested, pairs, texts, size, percent)
     _, roots, _ = _joined(live, roots, tested, _rest(live, percent), texts, size, percent)
 
-    rooted = classes.select("node", "__d0", "__d1", "__first").join(roots, "node")
-    least = rooted.groupBy("root").agg(F.min("__first").alias("__least"))
-    named = rooted.join(least, "root").select("__d0", "__d1", "__least")
-    out = sketched.select("__key", "__n", "__d0", "__d1").join(named, ["__d0", "__d1"], "left")
-    component = F.when(F.col("__n") > 0, F.col("__least")).otherwise(F.col("__key"))
-    return out.select(
-        F.col("__key").alias(key),
-        F.col("__n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.col("__key").eqNullSafe(component).alias("kept"),
-    )
+    rooted = classes.select("node", "__d0", "__d1", "__first", "__best").join(roots, "node")
+    return sketched, rooted
 
 
 def _mixed(live: DataFrame) -> DataFrame:
@@ -329,21 +346,31 @@ def _verified(pairs, texts, size, percent):
     return joined.mapInArrow(_verify_task(size, percent), "a long, b long")
 
 
-def distinct_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", **options):
-    """One document of each component, same columns.
+def distinct_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80
+) -> DataFrame:
+    """One row of each component, same columns: that with the smallest key.
 
-    Rows that repeat a key count as one document. Rows without a key all stay.
+    Rows without a key come last; of rows that share the key the smallest digest of
+    the whole row decides, and rows equal in all columns are interchangeable. So keys
+    may be repeated or missing. Texts without words are linked with nothing: all stay.
     """
-    found = near_duplicates(docs, key=key, text=text, **options)
-    kept = found.filter("kept").select(F.col(key).alias("__kept")).distinct()
     columns = docs.columns
-    body = docs.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("__kept"), F.struct(*[F.col(c) for c in columns]).alias("__doc")
-    )
+    # The digest is computed from the row wherever it is needed: nothing to be stored.
+    named = docs.select(
+        F.struct(*[c.alias(f"r{i}") for i, c in enumerate(digest_key(*map(F.col, columns)))]).alias("__row"),
+        F.struct(*[F.col(c) for c in columns]).alias("__doc"),
+        F.col(key).cast("long").alias("__key"),
+        F.col(text).alias("__text"),
+    )
+    _, rooted = _components(named.select("__key", "__text", "__row"), size, percent)
+    kept = rooted.groupBy("root").agg(F.min("__best").alias("b")).select("b.__row")
     once = (
-        body.join(kept, "__kept", "left_semi")
-        .groupBy("__kept")
+        named.select("__row", "__doc")
+        .join(kept, "__row", "left_semi")
+        .groupBy("__row")
         .agg(F.first("__doc").alias("__doc"))
         .select("__doc.*")
     )
-    return once.unionByName(docs.filter(F.col(key).isNull()))
+    wordless = docs.filter(F.col(text).isNull() | ~F.col(text).rlike(r"[^\x20\x09-\x0D]"))
+    return once.unionByName(wordless)
