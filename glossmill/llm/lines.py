@@ -24,7 +24,7 @@ SKETCH_BITS = 12
 BAND = 5 * 1.04 / (2 ** (SKETCH_BITS / 2))
 
 
-def _numbered_lines(docs, text, site, key):
+def _numbered_lines(docs, text, site, key, min_words):
     """Row key, site, order of the row, and position and hashes of its lines."""
     named = docs.select(
         *[c.alias(f"__r{i}") for i, c in enumerate(digest_key(*map(F.col, (key, site, text))))],
@@ -34,7 +34,7 @@ def _numbered_lines(docs, text, site, key):
     )
     rows = posexplode(named, ["__r0", "__r1", "__order", "__site"], "__lines", "__at", "__line")
     long_enough = F.col("__line").rlike(
-        r"\A[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){%d}" % MIN_WORDS
+        r"\A[\x20\x09-\x0D]*+(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){%d}" % min_words
     )
     return rows.filter(long_enough).select(
         "__r0", "__r1", "__order", "__site", "__at",
@@ -77,10 +77,12 @@ def without_boilerplate(
     text: str = "text",
     site: str = "source",
     key: str = "doc_id",
+    min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """`docs` with the text cleaned, and `n_lines, n_removed` (long).
 
-    Lines are what `\n` separates; those of under five words are left alone. A
+    Lines are what `\n` separates; those of under `min_words` words are left
+    alone; with 1 the number of sites alone decides on every line that has a word. A
     NULL text stays NULL with 0 lines, an empty one has one line. A NULL site is
     a site of its own. Of several documents with a line the one with the smallest
     key keeps its first occurrence (NULL keys come last). Rows equal in key, site
@@ -88,7 +90,7 @@ def without_boilerplate(
     stays empty.
     """
     columns = docs.columns
-    lines = _numbered_lines(docs, text, site, key)
+    lines = _numbered_lines(docs, text, site, key, min_words)
     found = lines.join(boilerplate(lines, min_sites), ["__h0", "__h1"])
     here = F.struct("__order", "__r0", "__r1", "__at")
     drops = (
