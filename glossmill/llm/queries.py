@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from glossmill.llm import bitslice, bpe, lines, mixing, neardup, quality, surrogates, tokens, toxicity, warc
+from glossmill.llm import bitslice, bpe, lines, mixing, neardup, quality, resample, surrogates, tokens, toxicity, warc
 from glossmill.llm.common import scratch, table
 
 
@@ -78,6 +78,12 @@ def op10_toxicity(spark, sf_dir):
     return toxicity.score(docs, labels)
 
 
+def op11_resample(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    target = table(spark, sf_dir, "benchmark").select("text")
+    return resample.resampled(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pii": op2_pii,
@@ -89,6 +95,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_top_k": op9_top_k,
     "op10_toxicity": op10_toxicity,
+    "op11_resample": op11_resample,
 }
 
 ORACLES: dict[str, str] = {
