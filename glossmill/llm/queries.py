@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from glossmill.llm import bitslice, bpe, lines, mixing, neardup, quality, resample, surrogates, tokens, toxicity, warc
-from glossmill.llm.common import scratch, table
+from glossmill.llm import bitslice, bpe, lines, mixing, neardup, quality, resample, runs, surrogates, tokens, toxicity, warc
+from glossmill.llm.common import scratch, table, words
 
 
 def op1_line_dedup(spark, sf_dir):
@@ -84,6 +84,42 @@ def op11_resample(spark, sf_dir):
     return resample.resampled(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def planted(doc_id, text):
+    """Words of `text`, in one document of ten (by crc32 of the id) repeated from a point on."""
+    w = words(text)
+    n = F.size(w)
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    a = F.pmod(g, F.greatest(n, F.lit(1)))
+    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+    copied = F.transform(w, lambda x, i: F.when(i >= a, F.element_at(w, (a + F.pmod(i - a, p) + 1).cast("int"))).otherwise(x))
+    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), copied).otherwise(w)
+
+
+def op13_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.periodic_runs(docs, planted(F.col("doc_id"), F.col("text")))
+
+    def better(acc, r):
+        return F.when(r["length"] * acc["period"] > acc["length"] * r["period"], r).otherwise(acc)
+
+    best = F.aggregate(F.slice("runs", 2, 1 << 30), F.get(F.col("runs"), 0), better)
+    listed = F.array_join(
+        F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n"
+    )
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit(""))
+    return found.select(
+        "doc_id",
+        "n_runs",
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(best["length"] * 1000 / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_pii": op2_pii,
@@ -96,6 +132,7 @@ QUERIES = {
     "op9_top_k": op9_top_k,
     "op10_toxicity": op10_toxicity,
     "op11_resample": op11_resample,
+    "op13_runs": op13_runs,
 }
 
 ORACLES: dict[str, str] = {
