@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from glossmill.llm import bitslice, bpe, lines, mixing, neardup, quality, resample, runs, surrogates, tokens, toxicity, warc
+from glossmill.llm import bitslice, bpe, lines, mixing, neardup, prefixbpe, quality, resample, runs, surrogates, tokens, toxicity, warc
 from glossmill.llm.common import scratch, table, words
 
 
@@ -84,6 +84,19 @@ def op11_resample(spark, sf_dir):
     return resample.resampled(docs, target).select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_prefix_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = prefixbpe.encode(docs, path, public_tokenizers.PATTERN)
+    both = prefixbpe.decode(coded, path, public_tokenizers.PATTERN)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.unhex(prefixbpe.le_u32_hex(F.col("ids"))), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+    )
+
+
 def planted(doc_id, text):
     """Words of `text`, in one document of ten (by crc32 of the id) repeated from a point on."""
     w = words(text)
@@ -132,6 +145,7 @@ QUERIES = {
     "op9_top_k": op9_top_k,
     "op10_toxicity": op10_toxicity,
     "op11_resample": op11_resample,
+    "op12_prefix_bpe": op12_prefix_bpe,
     "op13_runs": op13_runs,
 }
 
