@@ -97,12 +97,13 @@ def op12_prefix_bpe(spark, sf_dir):
     )
 
 
-def planted(doc_id, text):
-    """Words of `text`, in one document of ten (by crc32 of the id) repeated from a point on."""
-    w = words(text)
-    n = F.size(w)
+def planted(doc_id, w):
+    """Words `w` (an array column), in one document of ten (by crc32 of the id)
+    repeated from a point on. `w` should be a column, not an expression: the lambda
+    reads it for every word."""
     h = F.crc32(doc_id.cast("string").cast("binary"))
     g = F.floor(h / 10)
+    n = F.size(w)
     a = F.pmod(g, F.greatest(n, F.lit(1)))
     p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
     copied = F.transform(w, lambda x, i: F.when(i >= a, F.element_at(w, (a + F.pmod(i - a, p) + 1).cast("int"))).otherwise(x))
@@ -110,8 +111,8 @@ def planted(doc_id, text):
 
 
 def op13_runs(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = runs.periodic_runs(docs, planted(F.col("doc_id"), F.col("text")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", words(F.col("text")).alias("words"))
+    found = runs.periodic_runs(docs, planted(F.col("doc_id"), F.col("words")))
 
     def better(acc, r):
         return F.when(r["length"] * acc["period"] > acc["length"] * r["period"], r).otherwise(acc)

@@ -237,6 +237,8 @@ def find_runs(seq: np.ndarray) -> list[tuple[int, int, int]]:
 
 def collapse(words: list[str], runs: list[tuple[int, int, int]]) -> str:
     """Words joined by one space, without those a run holds after its first period."""
+    if not runs:
+        return " ".join(words)
     drop = np.zeros(len(words) + 1, dtype=np.int64)
     for start, length, period in runs:
         drop[start + period] += 1
@@ -249,8 +251,9 @@ def _one(words) -> dict:
     if words is None or len(words) == 0:
         return {"n_runs": 0, "runs": [], "collapsed": ""}
     words = list(words)
-    _, ids = np.unique(np.asarray(words, dtype=object), return_inverse=True)
-    found = find_runs(ids.astype(np.int64))
+    number: dict[str, int] = {}
+    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words))
+    found = find_runs(ids)
     return {
         "n_runs": len(found),
         "runs": [{"start": s, "length": l, "period": p} for s, l, p in found],
