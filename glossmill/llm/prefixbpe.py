@@ -18,7 +18,9 @@ the library does with add_special_tokens=False; decoding joins the tokens' bytes
 added tokens as their text, and reads them as UTF-8 with replacement.
 
 Spark runs this in Pandas UDFs: each Python worker loads the vocabulary once, and
-remembers the ids of the pieces it met (up to CACHE pieces, then it starts over).
+remembers the ids of the pieces it met (up to CACHE pieces) and the pairs it tested
+(up to PAIRS), then starts over, so its memory is bounded whatever the input.
+`digests` encodes and decodes in one pass and hands only digests back to the JVM.
 
 Defined cases: a NULL text encodes as no ids and decodes to the empty text; empty
 texts likewise; very long texts are encoded whole (pieces are found by the pattern,
@@ -39,7 +41,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE = 1 << 19
+CACHE = 1 << 17
+PAIRS = 1 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -145,6 +148,8 @@ class PrefixBPE:
         ok = self.compatible_pairs.get((u, t))
         if ok is not None:
             return ok
+        if len(self.compatible_pairs) >= PAIRS:
+            self.compatible_pairs.clear()
         if not (self.starts_piece(u) and self.starts_piece(t)):
             self.compatible_pairs[(u, t)] = False
             return False
@@ -244,6 +249,34 @@ def decode(coded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataF
     return coded.select(*keep, text_of(F.col(ids)).alias("decoded"))
 
 
+DIGESTS = T.StructType(
+    [
+        T.StructField("n_tokens", T.LongType()),
+        T.StructField("ids_sha256", T.StringType()),
+        T.StructField("decoded_sha256", T.StringType()),
+    ]
+)
+
+
+def digests(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Column:
+    """Per row: number of ids, sha256 of the ids as little-endian uint32, sha256 of the
+    UTF-8 of their decoding. A column of `docs`; ids never leave the Python worker."""
+    import hashlib
+
+    @F.pandas_udf(DIGESTS)
+    def digest(texts: pd.Series) -> pd.DataFrame:
+        m = model(path, pattern)
+        out = []
+        for t in texts:
+            ids = m.encode(t)
+            packed = np.asarray(ids, dtype="<u4").tobytes()
+            decoded = m.decode(ids).encode("utf-8")
+            out.append((len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+        return pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return digest(F.col(text))
+
+
 def le_u32_hex(ids: Column) -> Column:
     """Hex of the ids as little-endian unsigned 32-bit integers, one string."""
     def one(i):

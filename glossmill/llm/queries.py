@@ -87,14 +87,8 @@ def op11_resample(spark, sf_dir):
 def op12_prefix_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = prefixbpe.encode(docs, path, public_tokenizers.PATTERN)
-    both = prefixbpe.decode(coded, path, public_tokenizers.PATTERN)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.unhex(prefixbpe.le_u32_hex(F.col("ids"))), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+    d = prefixbpe.digests(docs, path, public_tokenizers.PATTERN)
+    return docs.select("doc_id", d.alias("d")).select("doc_id", "d.n_tokens", "d.ids_sha256", "d.decoded_sha256")
 
 
 def planted(doc_id, w):
