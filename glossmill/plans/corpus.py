@@ -158,3 +158,44 @@ def short_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .agg(F.count(F.lit(1)).alias("freq"))
     )
+
+
+def faulty_marked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`value`: each document as a marked record, some with faults set by its id.
+
+    Id % 3 == 0: the id is written in brackets, a header that looks like a body
+    line; id % 5 == 1: stray text before the marker; id % 7 == 3: no closing marker.
+    """
+    docs = text_table(spark, sf_dir, "documents", "doc_id", "text")
+    i = F.col("doc_id")
+    name = F.when(i % 3 == 0, F.concat(F.lit("["), i, F.lit("]"))).otherwise(i.cast("string"))
+    stray = F.when(i % 5 == 1, F.concat(F.lit("stray "), i, F.lit("\n"))).otherwise(F.lit(""))
+    end = F.when(i % 7 == 3, F.lit("")).otherwise(F.lit("\n_pubmed_id_end_\n"))
+    return docs.select(
+        F.concat(
+            stray, F.lit("_pubmed_id="), name, F.lit(":"), pseudo_year(),
+            F.lit("\n_ArticleTitle_\n_AbstractText_\n"), F.coalesce("text", F.lit("")), end,
+        ).alias("value")
+    )
+
+
+def faulty_tagged_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`value`: each tagged line as a block, some with faults set by its length n.
+
+    n % 3 == 0: junk before the token line; n % 4 == 1: no tag line; n % 5 == 2: no
+    closing line.
+    """
+
+    def line(mark, column):
+        return F.concat(F.lit(mark + "\t"), F.array_join(column, "\t"), F.lit("\n"))
+
+    n = F.size("tokens")
+    none = F.lit("")
+    return tagged(spark, sf_dir).select(
+        F.concat(
+            F.when(n % 3 == 0, F.lit("junk\n")).otherwise(none),
+            line("TOK:", "tokens"),
+            F.when(n % 4 == 1, none).otherwise(line("POS:", "pos")),
+            F.when(n % 5 == 2, none).otherwise(line("CNK:", "pos")),
+        ).alias("value")
+    )

@@ -447,6 +447,34 @@ SELECT array_to_string(t, ' ') AS tokens, array_to_string(list_transform(t, lamb
   CASE WHEN regexp_matches(x, '\A[A-Z]') THEN 'NNP'
        WHEN regexp_matches(x, '[0-9]') THEN 'CD' ELSE 'NN' END), ' ') AS pos
 FROM tok WHERE len(t) > 0""",
+        "parse_marked_malformed": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
+                  CASE WHEN doc_id % 3 = 0 THEN '[' || doc_id || ']' ELSE CAST(doc_id AS VARCHAR) END AS name,
+                  CAST(1990 + doc_id % 25 AS INTEGER) AS year FROM documents)
+SELECT CASE WHEN doc_id % 7 = 3 THEN '' ELSE name END AS doc_id,
+       CASE WHEN doc_id % 7 = 3 THEN 0 ELSE year END AS year,
+       CASE WHEN doc_id % 7 = 3 THEN 'unclosed' ELSE 'ok' END AS reason,
+       CASE WHEN doc_id % 7 = 3
+            THEN CAST(length(name || ':' || year || chr(10) || '_ArticleTitle_' || chr(10)
+                             || '_AbstractText_' || chr(10) || text) AS BIGINT) ELSE 0 END AS raw_chars
+FROM d
+UNION ALL
+SELECT '', 0, 'headerless', CAST(length('stray ' || doc_id) AS BIGINT) FROM d WHERE doc_id % 5 = 1""",
+        "parse_tagged_malformed": lines()
+        + r""",
+s AS (SELECT t, len(t) AS n, array_to_string(t, chr(9)) AS tj,
+             array_to_string(list_transform(t, lambda x:
+               CASE WHEN regexp_matches(x, '\A[A-Z]') THEN 'NNP'
+                    WHEN regexp_matches(x, '[0-9]') THEN 'CD' ELSE 'NN' END), chr(9)) AS pj
+      FROM tok WHERE len(t) > 0)
+SELECT CASE WHEN n % 5 <> 2 AND n % 4 <> 1 THEN replace(tj, chr(9), ' ') ELSE '' END AS tokens,
+       CASE WHEN n % 5 <> 2 AND n % 4 <> 1 THEN replace(pj, chr(9), ' ') ELSE '' END AS pos,
+       CASE WHEN n % 5 = 2 THEN 'unclosed' WHEN n % 4 = 1 THEN 'untagged' ELSE 'ok' END AS reason,
+       CAST(CASE WHEN n % 5 = 2 THEN 1 + length(tj) + 1 + CASE WHEN n % 4 = 1 THEN 0 ELSE 6 + length(pj) END
+                 WHEN n % 4 = 1 THEN 1 + length(tj) + 1 + 6 + length(pj) ELSE 0 END AS BIGINT) AS raw_chars
+FROM s
+UNION ALL
+SELECT '', '', 'headerless', CAST(4 AS BIGINT) FROM s WHERE n % 3 = 0""",
         "yearly_from_lines": f"SELECT year, term, freq FROM ({SHORT_YEARLY})",
         "ngram1": grams(1) + count("gram", "gram"),
         "ngram2": grams(2) + count("gram", "gram"),

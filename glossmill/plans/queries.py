@@ -56,6 +56,31 @@ def parse_tagged(spark, sf_dir):
     )
 
 
+def parse_marked_malformed(spark, sf_dir):
+    """Marked records with faults, kept with their reason ("ok": none); for faults the
+    length of their raw text and no fields ("", 0)."""
+    records = g.parse_marked(corpus.faulty_marked_text(spark, sf_dir), malformed="keep")
+    faulty = F.col("reason").isNotNull()
+    return records.select(
+        F.coalesce("doc_id", F.lit("")).alias("doc_id"),
+        F.coalesce("year", F.lit(0)).alias("year"),
+        F.coalesce("reason", F.lit("ok")).alias("reason"),
+        F.when(faulty, F.length("raw")).otherwise(0).cast("long").alias("raw_chars"),
+    )
+
+
+def parse_tagged_malformed(spark, sf_dir):
+    """Tagged sentences with faults, kept with their reason (as above)."""
+    parsed = g.parse_tagged(corpus.faulty_tagged_text(spark, sf_dir), malformed="keep")
+    faulty = F.col("reason").isNotNull()
+    return parsed.select(
+        F.coalesce(F.array_join("tokens", " "), F.lit("")).alias("tokens"),
+        F.coalesce(F.array_join("pos", " "), F.lit("")).alias("pos"),
+        F.coalesce("reason", F.lit("ok")).alias("reason"),
+        F.when(faulty, F.length("raw")).otherwise(0).cast("long").alias("raw_chars"),
+    )
+
+
 def yearly_from_lines(spark, sf_dir):
     return g.parse_yearly(corpus.count_lines(spark, sf_dir))
 
@@ -110,6 +135,8 @@ QUERIES: dict[str, Query] = {
     "parse_marked_records": parse_marked_records,
     "parse_chunk_records": parse_chunk_records,
     "parse_tagged": parse_tagged,
+    "parse_marked_malformed": parse_marked_malformed,
+    "parse_tagged_malformed": parse_tagged_malformed,
     "yearly_from_lines": yearly_from_lines,
     # n-grams
     "ngram1": _on(corpus.documents, g.ngrams, n=1),

@@ -251,3 +251,63 @@ def test_tsv_round_trip(spark, tmp_path):
     pairs = spark.createDataFrame([("b", "a", 3)], "hi string, lo string, freq long")
     g.write_tsv(pairs, str(tmp_path / "p"), ["hi", "lo"], parts=1)
     assert [r[0] for r in spark.read.text(str(tmp_path / "p")).collect()] == ["b\ta\t3"]
+
+
+def test_records_framed_by_place(spark, tmp_path):
+    """A record is what follows a marker, whatever its header looks like."""
+    from pyspark.sql import Observation
+
+    (tmp_path / "a.txt").write_text(
+        "stray text\nmore _pubmed_id_end_\n_pubmed_id_end_\n"
+        "_pubmed_id=[9]:2021\n<s n=\"1\">kept.</s>\n_pubmed_id_end_\n"
+        "_pubmed_id=<s 7>:2020\n_pubmed_id_end_\n"
+        "_pubmed_id=_ArticleTitle_:2019\n_pubmed_id_end_\n"
+        "_pubmed_id=8:2018\nnever closed\n"
+    )
+    (tmp_path / "b.txt").write_text("_pubmed_id=5:2001\n_pubmed_id_end_\n")
+    seen = Observation("marked")
+    got = g.read_marked(spark, str(tmp_path), observation=seen)
+    assert rows(got, "doc_id", "year") == [("5", 2001), ("<s 7>", 2020), ("[9]", 2021), ("_ArticleTitle_", 2019)]
+    counts = seen.get
+    assert (counts["good"], counts["headerless"], counts["unclosed"]) == (4, 1, 1)
+    kept = g.read_marked(spark, str(tmp_path), malformed="keep")
+    bad = rows(kept.filter("reason IS NOT NULL"), "reason", "doc_id", "raw")
+    assert bad == [
+        ("headerless", None, "stray text\nmore _pubmed_id_end_\n_pubmed_id_end_"),
+        ("unclosed", None, "8:2018\nnever closed\n"),
+    ]
+    with pytest.raises(PySparkException, match="malformed record"):
+        g.read_marked(spark, str(tmp_path), malformed="fail").collect()
+
+
+def test_first_record_told_in_packed_splits(spark, tmp_path):
+    """Many small files share a partition; only each file's head lacks a marker."""
+    for i in range(40):
+        head = "" if i % 2 else f"junk {i}\n"
+        (tmp_path / f"{i}.txt").write_text(
+            head + f"_pubmed_id={i}:2000\nA\n_pubmed_id_end_\n_pubmed_id=[{i}]:2001\nB\n_pubmed_id_end_\n"
+        )
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "60")
+    try:
+        got = rows(g.read_marked(spark, str(tmp_path)), "doc_id")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = sorted([(str(i),) for i in range(40)] + [(f"[{i}]",) for i in range(40)])
+    assert got == want
+
+
+def test_tagged_junk_before_first_token_line(spark, tmp_path):
+    from pyspark.sql import Observation
+
+    (tmp_path / "t.txt").write_text(
+        "junk\nPOS:\tNN\nCNK:\tx\n"
+        "TOK:\ta\tb\nPOS:\tDT\tNN\nLEM:\ta\tb\nCNK:\tx\n"
+        "TOK:\tno\ttag\nCNK:\tx\n"
+        "TOK:\topen\n"
+    )
+    seen = Observation("tagged")
+    got = g.read_tagged(spark, str(tmp_path), observation=seen)
+    assert [tuple(r) for r in got.collect()] == [(["a", "b"], ["DT", "NN"])]
+    c = seen.get
+    assert (c["good"], c["headerless"], c["untagged"], c["unclosed"]) == (1, 1, 1, 1)
