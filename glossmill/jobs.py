@@ -9,7 +9,7 @@ import argparse
 import sys
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 if __package__ in (None, ""):
     sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
@@ -26,6 +26,10 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("source")
         sub.add_argument("target")
         sub.add_argument("--parts", type=int, default=40, help="output files")
+        if name != "rolling-term-sum":
+            sub.add_argument(
+                "--malformed", choices=["fail", "drop"], help="faulty records (default: the scan's own)"
+            )
         if min_freq is not None:
             sub.add_argument("--min-freq", type=int, default=min_freq)
             sub.add_argument("--ignore-case", action="store_true")
@@ -63,30 +67,33 @@ def result(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, ob
         options["skip_patterns"] = g.read_skip_patterns(spark, *args.skip)
     if getattr(args, "stop_words", None):
         options["stop_words"] = g.read_word_table(spark, args.stop_words)
+    scan = {"observation": getattr(args, "seen", None)}
+    if getattr(args, "malformed", None):
+        scan["malformed"] = args.malformed
     keys = []
     if "by_heading" in args:
         options.update(by_heading=args.by_heading, stem=args.stem)
         options["unit"] = "document" if args.per_document else "occurrence"
         keys = ["heading"] if args.by_heading else []
     if args.job == "ngrams":
-        df = g.ngrams(g.read_marked(spark, args.source), args.n, **options)
+        df = g.ngrams(g.read_marked(spark, args.source, **scan), args.n, **options)
         return df, [*keys, "gram"]
     if args.job == "ngram-sweep":
-        records = g.read_marked(spark, args.source)
+        records = g.read_marked(spark, args.source, **scan)
         return g.ngram_sweep(records, args.lowest, args.highest, **options), ["gram"]
     if args.job == "word-counts":
-        df = g.word_counts(g.read_marked(spark, args.source), **options)
+        df = g.word_counts(g.read_marked(spark, args.source, **scan), **options)
         return df, [*keys, "word"]
     if args.job == "cooccurrence":
         unit = "document" if args.per_document else "sentence"
-        df = g.cooccurrence(g.read_marked(spark, args.source), unit, **options)
+        df = g.cooccurrence(g.read_marked(spark, args.source, **scan), unit, **options)
         return df, ["hi", "lo"]
     if args.job == "tagged-ngrams":
-        df = g.tagged_ngrams(g.read_tagged(spark, args.source), args.n, **options)
+        df = g.tagged_ngrams(g.read_tagged(spark, args.source, **scan), args.n, **options)
         return df, df.columns[:-1]
     if args.job == "chunk-counts":
         by = "doc_id" if args.by_document else "year"
-        df = g.chunk_counts(g.read_chunked(spark, args.source), by, **options)
+        df = g.chunk_counts(g.read_chunked(spark, args.source, **scan), by, **options)
         return df, g.yearly_key(by)
     return g.rolling_term_sum(g.read_yearly(spark, args.source)), g.trend_key()
 
@@ -94,8 +101,12 @@ def result(spark: SparkSession, args: argparse.Namespace) -> tuple[DataFrame, ob
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = SparkSession.builder.appName(f"glossmill {args.job}").getOrCreate()
+    args.seen = Observation("records")
     df, key = result(spark, args)
     g.write_tsv(df, args.target, key, parts=args.parts)
+    if args.job != "rolling-term-sum":
+        counts = args.seen.get
+        print("records: " + ", ".join(f"{k} {v}" for k, v in counts.items()), file=sys.stderr)
 
 
 if __name__ == "__main__":

@@ -38,3 +38,16 @@ def test_every_job_from_the_shell(spark, tmp_path):
     (tmp_path / "y" / "part").write_text("2000_[NP x ]\t5\n2005_[NP x ]\t6\n")
     trend = run("rolling-term-sum", "y")
     assert trend == ["[NP x ]_2000-2005\t11", "[NP x ]_2001-2005\t6"]
+
+
+def test_jobs_count_and_fail_on_faulty_records(spark, tmp_path, capsys):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "part").write_text("stray\n" + MARKED)
+    target = tmp_path / "out"
+    main(["word-counts", "--min-freq", "1", "--parts", "1", str(tmp_path / "m"), str(target)])
+    assert "records: good 3, headerless 1, unclosed 1, bad_header 0, untagged 0" in capsys.readouterr().err
+    with pytest.raises(PySparkException, match="malformed record"):
+        main(["word-counts", "--malformed", "fail", str(tmp_path / "m"), str(tmp_path / "out2")])
