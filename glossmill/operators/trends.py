@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from glossmill.operators.counting import JobCounters
 
 
-MAX_YEARS = 100_000  # years a term may span; every one of them becomes a row
 _MODES = ("fail", "drop")
 
 
@@ -25,8 +24,10 @@ def rolling_term_sum(
     Start years run from the first year of a term, also through years without
     data, as long as at least `min_history` years are left until its last one;
     a window is cut at the last year. A year is any whole number; one that is none
-    fails the job or, with malformed="drop", loses its row. A term whose years span
-    more than MAX_YEARS fails the job in either mode.
+    fails the job or, with malformed="drop", loses its row. Windows and sums run
+    over the rows of data and the points where a sum changes, never over the empty
+    years between them; start years are spelled out only in the last step, by a
+    generator after the last shuffle, so a term of any span takes no more memory.
     """
     if malformed not in _MODES:
         raise ValueError(f"malformed must be one of {_MODES}")
@@ -50,38 +51,49 @@ def rolling_term_sum(
         F.max("year").over(of_term).alias("last"),
         F.min("year").over(of_term).alias("first"),
     ).filter(F.col("last").cast("long") - F.col("first") >= min_history)
-    wide = F.col("last").cast("long") - F.col("first") > MAX_YEARS
-    placed = placed.withColumn(
+    # The sum from a start year changes only where a year enters (start = year -
+    # span + 1) or leaves (start = year + 1) its window: sums are taken at these
+    # points, over the rows of data only, and each holds until the next point.
+    final = F.col("last") - min_history
+    year = F.col("year").cast("long")
+    nothing = F.lit(None).cast("bigint")
+
+    def point(x):
+        return F.struct(x.alias("x"), nothing.alias("_freq"), F.lit(True).alias("_point"))
+
+    rows_and_points = F.array(
+        F.struct(year.alias("x"), F.col("freq").cast("bigint").alias("_freq"), F.lit(False).alias("_point")),
+        point(F.when(year == F.col("first"), year)),
+        point(year + 1),
+        point(year - (span - 1)),
+    )
+    both = placed.select("term", "first", "last", F.explode(rows_and_points).alias("e")).select(
+        "term", "first", "last", "e.*"
+    )
+    both = both.filter(
+        ~F.col("_point") | (F.col("x").isNotNull() & (F.col("x") >= F.col("first")) & (F.col("x") <= final))
+    )
+    ahead = of_term.orderBy("x").rangeBetween(0, span - 1)
+    summed = both.withColumn("freq", F.coalesce(F.sum("_freq").over(ahead), F.lit(0)).cast("bigint"))
+    at_points = summed.filter("_point")
+    following = of_term.orderBy("x")
+    pieces = at_points.select(
+        "term",
         "last",
-        F.when(~wide, F.col("last")).otherwise(
-            F.raise_error(F.concat(F.lit("too many years: "), "term")).cast("int")
-        ),
+        "x",
+        "freq",
+        F.coalesce(F.lead("x").over(following) - 1, final.cast("long")).alias("_until"),
     )
-    # Fill the years up to the next row with zero.
-    until = F.coalesce(F.col("next_year") - 1, F.col("year"))
-    dense = placed.select(
+    # a point met twice holds until itself minus one: no years
+    sums = pieces.filter(F.col("_until") >= F.col("x")).select(
         "term",
         "last",
-        F.col("freq").alias("_freq"),
-        F.col("year").alias("_year"),
-        F.explode(F.sequence("year", until)).alias("start_year"),
+        "freq",
+        F.explode(F.sequence("x", "_until")).alias("start_year"),
     ).select(
         "term",
-        "last",
-        "start_year",
-        F.when(F.col("start_year") == F.col("_year"), F.col("_freq"))
-        .otherwise(F.lit(0))
-        .alias("_freq"),
-    )
-    ahead = of_term.orderBy("start_year").rangeBetween(0, span - 1)
-    sums = (
-        dense.withColumn("freq", F.sum("_freq").over(ahead))
-        .filter(F.col("last") - F.col("start_year") >= min_history)
-        .select(
-            "term",
-            "start_year",
-            F.least(F.col("start_year") + (span - 1), F.col("last")).alias("end_year"),
-            "freq",
-        )
+        F.col("start_year").cast("int").alias("start_year"),
+        F.least(F.col("start_year") + (span - 1), F.col("last")).cast("int").alias("end_year"),
+        "freq",
     )
     return sums if counters is None else counters.on_kept(sums)

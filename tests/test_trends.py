@@ -70,9 +70,14 @@ def test_what_is_no_year_fails_or_goes(spark):
     got = rows(g.rolling_term_sum(df, malformed="drop", counters=counters))
     assert got == [("a", 2000, 2004, 2)]
     assert (counters.emitted, counters.kept) == (2, 1)
-    wide = spark.createDataFrame([(0, "a", 1), (10**9, "a", 1)], SCHEMA)
-    with pytest.raises(PySparkException):
-        g.rolling_term_sum(wide).collect()
+
+
+def test_a_term_of_any_span(spark):
+    data = [(-100_000, "w", 3), (-99_995, "w", 2), (0, "w", 1), (100_000, "w", 4), (2000, "n", 1), (2004, "n", 1)]
+    got = g.rolling_term_sum(spark.createDataFrame(data, SCHEMA))
+    assert got.count() == 200_001 - 4 + 1
+    want = {r[1]: r for r in brute_force(data) if r[0] == "w" and r[3] > 0}
+    assert {r.start_year: tuple(r) for r in got.filter("term = 'w' AND freq > 0").collect()} == want
 
 def test_chain_thresholds_before_the_trend(spark):
     chunks = spark.createDataFrame(
