@@ -160,6 +160,17 @@ def short_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wide_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`year, term, freq`: orders per priority and a year spread over 20,011 years,
+    negative ones included (o_orderkey % 20011 - 10000)."""
+    year = (F.col("o_orderkey") % 20011 - 10000).cast("int")
+    return (
+        table(spark, sf_dir, "orders")
+        .groupBy(year.alias("year"), F.col("o_orderpriority").alias("term"))
+        .agg(F.count(F.lit(1)).alias("freq"))
+    )
+
+
 def faulty_marked_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`value`: each document as a marked record, some with faults set by its id.
 

@@ -514,6 +514,10 @@ SELECT CAST(doc_id AS VARCHAR) AS doc_id, {_normal_chunk("f")} AS term FROM kept
             words() + " SELECT word AS term, year, count(*) AS freq FROM word GROUP BY ALL"
         ),
         "bwi_short": trend(SHORT_YEARLY),
+        "bwi_any_year": trend(
+            "SELECT o_orderpriority AS term, CAST(o_orderkey % 20011 - 10000 AS INTEGER) AS year, "
+            "CAST(count(*) AS BIGINT) AS freq FROM orders GROUP BY ALL"
+        ),
         "bwi_from_chunks": trend(chunk_counts("year", 2)),
         "bwi_lines": f"""
 SELECT term || '_' || start_year || '-' || end_year || chr(9) || freq AS line

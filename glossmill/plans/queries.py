@@ -188,6 +188,7 @@ QUERIES: dict[str, Query] = {
     "bwi_short": bwi_short,
     "bwi_from_chunks": bwi_from_chunks,
     "bwi_lines": bwi_lines,
+    "bwi_any_year": lambda spark, sf_dir: g.rolling_term_sum(corpus.wide_yearly(spark, sf_dir)),
     # tagged n-grams
     "tagged_ngram1": _on(corpus.tagged, g.tagged_ngrams, n=1),
     "tagged_ngram2": _on(corpus.tagged, g.tagged_ngrams, n=2),
