@@ -494,6 +494,9 @@ SELECT '', '', 'headerless', CAST(4 AS BIGINT) FROM s WHERE n % 3 = 0""",
         "wordcount_stop": words()
         + f", k AS (SELECT word FROM word WHERE word NOT IN {STOPS})"
         + count("k", "word"),
+        "wordcount_stop_table": words()
+        + f", k AS (SELECT word FROM word WHERE word NOT IN {STOPS})"
+        + count("k", "word"),
         "wordcount_lower": words(lower=True) + count("word", "word"),
         "wordcount_docfreq": _doc(words(), "word"),
         "wordcount_by_heading": _by_heading(words(), "s", "word", "word"),
@@ -502,6 +505,7 @@ SELECT '', '', 'headerless', CAST(4 AS BIGINT) FROM s WHERE n % 3 = 0""",
         "wordcount_markup": words(PAGES) + count("word", "word", 2),
         "cooccur_sentence": pairs("line"),
         "cooccur_sentence_stop": pairs("line", stop=True),
+        "cooccur_sentence_stop_table": pairs("line", stop=True),
         "cooccur_document": pairs("record"),
         "cooccur_markup": pairs("line", PAGES),
         "chunk_filter": _chunk_rows(stop=True)

@@ -21,6 +21,16 @@ def _on(view, job, **options) -> Query:
     return lambda spark, sf_dir: job(view(spark, sf_dir), **options)
 
 
+def _with_stop_table(job, **options) -> Query:
+    """`job` over the documents with the stop words given as a table, not a list."""
+
+    def run(spark, sf_dir):
+        stops = spark.createDataFrame([(w,) for w in corpus.STOP_WORDS], "word string")
+        return job(corpus.documents(spark, sf_dir), stop_words=stops, **options)
+
+    return run
+
+
 def tokens(spark, sf_dir):
     docs = corpus.documents(spark, sf_dir)
     return posexplode(docs, ["doc_id"], T.tokens(F.col("body")), "at", "token")
@@ -162,6 +172,7 @@ QUERIES: dict[str, Query] = {
     "wordcount_stop": _on(
         corpus.documents, g.word_counts, stop_words=corpus.STOP_WORDS
     ),
+    "wordcount_stop_table": _with_stop_table(g.word_counts),
     "wordcount_lower": _on(corpus.documents, g.word_counts, case_sensitive=False),
     "wordcount_docfreq": _on(corpus.documents, g.word_counts, unit="document"),
     "wordcount_by_heading": _on(corpus.documents, g.word_counts, by_heading=True),
@@ -177,6 +188,7 @@ QUERIES: dict[str, Query] = {
     "cooccur_sentence_stop": _on(
         corpus.documents, g.cooccurrence, stop_words=corpus.STOP_WORDS
     ),
+    "cooccur_sentence_stop_table": _with_stop_table(g.cooccurrence),
     "cooccur_document": _on(corpus.documents, g.cooccurrence, unit="document"),
     "cooccur_markup": _on(corpus.pages, g.cooccurrence),
     # chunks and trends
