@@ -507,6 +507,8 @@ SELECT '', '', 'headerless', CAST(4 AS BIGINT) FROM s WHERE n % 3 = 0""",
         "cooccur_sentence_stop": pairs("line", stop=True),
         "cooccur_sentence_stop_table": pairs("line", stop=True),
         "cooccur_document": pairs("record"),
+        "cooccur_document_blocks": pairs("record"),
+        "cooccur_sentence_grid": pairs("line"),
         "cooccur_markup": pairs("line", PAGES),
         "chunk_filter": _chunk_rows(stop=True)
         + f"""

@@ -190,6 +190,10 @@ QUERIES: dict[str, Query] = {
     ),
     "cooccur_sentence_stop_table": _with_stop_table(g.cooccurrence),
     "cooccur_document": _on(corpus.documents, g.cooccurrence, unit="document"),
+    "cooccur_document_blocks": _on(
+        corpus.documents, g.cooccurrence, unit="document", strategy="blocks"
+    ),
+    "cooccur_sentence_grid": _on(corpus.documents, g.cooccurrence, strategy="grid"),
     "cooccur_markup": _on(corpus.pages, g.cooccurrence),
     # chunks and trends
     "chunk_filter": chunk_filter,
