@@ -31,6 +31,7 @@ columns are carried through, `ids` and `decoded` replace input columns of those
 from __future__ import annotations
 
 import json
+from itertools import chain
 from functools import lru_cache
 
 import ahocorasick
@@ -41,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE = 1 << 17
+CACHE = 1 << 19
 PAIRS = 1 << 20
 
 
@@ -60,6 +61,20 @@ def byte_alphabet() -> dict[str, int]:
     return out
 
 
+class _Pieces(dict):
+    """Ids of the pieces met, computed on a miss; cleared when CACHE are held."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, text: str) -> tuple[int, ...]:
+        if len(self) >= CACHE:
+            self.clear()
+        ids = self[text] = self.model.piece(text)
+        return ids
+
+
 class PrefixBPE:
     def __init__(self, path: str, pattern: str):
         spec = json.load(open(path, encoding="utf-8"))
@@ -92,7 +107,7 @@ class PrefixBPE:
         self.whole: dict[int, bool] = {}
         self.split: dict[int, tuple[int, int, int] | None] = {}
         self.spines: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces = _Pieces(self)
 
     def merged(self, data: bytes) -> tuple[list[int], tuple[int, int, int] | None]:
         """Plain BPE of a short byte string: merge the pair of lowest rank, leftmost first.
@@ -176,48 +191,52 @@ class PrefixBPE:
         data = text.encode("utf-8")
         n = len(data)
         last = [-1] * (n + 1)
-        whole, compatible = self.starts_piece, self.compatible
+        size = [0] * (n + 1)
+        pairs, whole = self.compatible_pairs.get, self.whole.get
         # matches come by end position, the longest first at each end
         for end, (length, t) in self.automaton.iter(data.decode("latin-1")):
             i = end + 1
             if last[i] >= 0:
                 continue
             start = i - length
-            if whole(t) if start == 0 else compatible(last[start], t):
+            if start == 0:
+                ok = whole(t)
+                if ok is None:
+                    ok = self.starts_piece(t)
+            else:
+                u = last[start]
+                ok = pairs((u, t))
+                if ok is None:
+                    ok = self.compatible(u, t)
+            if ok:
                 last[i] = t
+                size[i] = length
         if min(last[1:], default=0) < 0:  # not met with a vocabulary closed under its merges
             raise ValueError(f"no token ends a prefix of {data!r}")
         out = []
         i = n
         while i > 0:
-            t = last[i]
-            out.append(t)
-            i -= len(self.token_bytes[t])
-        result = tuple(reversed(out))
-        if len(self.pieces) >= CACHE:
-            self.pieces.clear()
-        self.pieces[text] = result
-        return result
+            out.append(last[i])
+            i -= size[i]
+        return tuple(reversed(out))
 
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
         ids: list[int] = []
-        known, piece = self.pieces.get, self.piece
+        ids_of = self.pieces.__getitem__
         parts = self.split_added.split(text) if self.split_added else [text]
         for k, part in enumerate(parts):
             if k % 2 == 1:
                 ids.append(self.added[part])
-                continue
-            for p in self.pattern.findall(part):
-                got = known(p)
-                ids.extend(got if got is not None else piece(p))
+            else:
+                ids.extend(chain.from_iterable(map(ids_of, self.pattern.findall(part))))
         return ids
 
     def decode(self, ids) -> str:
         if ids is None:
             return ""
-        return b"".join(self.token_bytes[int(i)] for i in ids).decode("utf-8", errors="replace")
+        return b"".join(map(self.token_bytes.__getitem__, map(int, ids))).decode("utf-8", errors="replace")
 
 
 @lru_cache(maxsize=4)
