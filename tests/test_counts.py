@@ -139,3 +139,19 @@ def test_long_sums_do_not_wrap(spark):
         F.lit(2**31).alias("freq"),
     )
     assert rows(g.rolling_term_sum(yearly)) == [("t", 2000, 2004, 5 * 2**31)]
+
+
+def test_hot_keys_are_salted_in_one_join(spark, tmp_path):
+    from glossmill.operators import lookup
+
+    rows = spark.createDataFrame([("a" if i % 3 else f"w{i % 40}", i) for i in range(3000)], "word string, n int")
+    path = str(tmp_path / "rows")
+    rows.write.parquet(path)
+    rows = spark.read.parquet(path)
+    listed = rows.groupBy("word").agg(F.count(F.lit(1)).alias("units")).withColumn("id", F.xxhash64("word"))
+    got = lookup.join_listed(rows, listed, "word", "units", small=False)
+    want = rows.join(listed.drop("units"), "word")
+    assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(path.rstrip("/").split("/")[-1]) >= 1
+    assert plan.count("Union") == 0
