@@ -155,3 +155,21 @@ def test_hot_keys_are_salted_in_one_join(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count(path.rstrip("/").split("/")[-1]) >= 1
     assert plan.count("Union") == 0
+
+
+def test_sweep_shuffles_no_positions(records):
+    df = records(*["a1 b1 c1 d1 e1 f1"] * 3, "a1 b1 zz d1 e1")
+    got = g.ngram_sweep(df, 2, 10, min_freq=3)
+    assert "line_id" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got) == rows(g.ngram_sweep(df, 2, 10, min_freq=3, prune=False))
+
+
+def test_marks_may_collide(records, monkeypatch):
+    from glossmill.operators import grams
+
+    # 64 marks in all: many rare bigrams share the mark of a frequent one.
+    monkeypatch.setattr(grams, "_mark", lambda b, bits: F.pmod(F.xxhash64(b), F.lit(64)).cast("int"))
+    bodies = [" ".join(f"w{(i * 7 + k * (1 + i % 3)) % 31}" for k in range(20)) for i in range(40)]
+    df = records(*bodies, "", "solo", None)
+    want = rows(g.ngram_sweep(df, 2, 6, min_freq=4, prune=False))
+    assert want and rows(g.ngram_sweep(df, 2, 6, min_freq=4)) == want
