@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.functions import text as T
 from glossmill.functions.rows import explode
 
+# Text that one task reads, about: what it counts before the shuffle stays in memory.
+TASK_BYTES = 8_000_000
 STOP_WORDS = ["the", "of", "and", "to", "in", "de", "la", "le", "der", "die"]
 
 
@@ -16,14 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str, key: str, *columns):
-    """Key and columns of a text table, over all cores also where it is one file.
+    """Key and columns of a text table, in tasks of about TASK_BYTES of text.
 
-    A table of few splits (one row group of text is minutes of work) is spread
-    by key; one with enough splits, so every large one, is read as it lies.
+    The number of tasks grows with the text: each sums its terms in memory, which
+    slows down and spills where a task reads more (one row group of text is minutes
+    of work). A table of too few splits is spread by key and text; one with enough
+    of them is read as it lies.
     """
     df = table(spark, sf_dir, name).select(key, *columns)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    body = "html" if "html" in columns else "text"
+    size = table(spark, sf_dir, name).agg(F.sum(F.octet_length(body))).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks, key, body)
 
 
 def pseudo_year() -> Column:

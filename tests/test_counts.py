@@ -173,3 +173,16 @@ def test_marks_may_collide(records, monkeypatch):
     df = records(*bodies, "", "solo", None)
     want = rows(g.ngram_sweep(df, 2, 6, min_freq=4, prune=False))
     assert want and rows(g.ngram_sweep(df, 2, 6, min_freq=4)) == want
+
+
+def test_tasks_grow_with_the_text(spark, tmp_path, monkeypatch):
+    from glossmill.plans import corpus
+
+    docs = [(None if i % 7 == 0 else i, f"text of {i} " * 20, "s", "en") for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string")
+    frame.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(corpus, "TASK_BYTES", 2000, raising=False)
+    got = corpus.text_table(spark, str(tmp_path), "documents", "doc_id", "text")
+    size = sum(len(d[1]) for d in docs)
+    assert got.rdd.getNumPartitions() >= size / 2000
+    assert rows(got, "text") == sorted((d[1],) for d in docs)
