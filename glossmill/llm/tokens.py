@@ -20,10 +20,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossmill.llm import packing, shards
+from glossmill.llm.arrays import gather, text_bytes, text_chunks
 
 FILE_IDS = 4_000_000  # ids of a file, up to one document more
 CACHE = 1_000_000  # short chunks whose ids a worker remembers (about 200 MB)
+CHUNK = 4 << 20  # bytes of the texts that a task encodes together
 _BATCH = 2048  # chunks encoded at once
+_IS_BLANK = np.isin(np.arange(256), list(b"\t\n\v\f\r "))
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
 
 @functools.lru_cache(maxsize=1)
@@ -37,12 +41,54 @@ def _tokenizer(path: str):
     return tokenizer, {}
 
 
+def _chunks(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Chunks between ASCII blanks, in lower case: places among the distinct ones, these,
+    and how many chunks the texts up to each have."""
+    data, ends = text_bytes(texts)
+    filled = ~_IS_BLANK[data]
+    cut = np.zeros(len(data) + 1, bool)  # before this byte
+    cut[ends] = True
+    cut[1:] |= ~np.append(filled, False)[:-1] if len(data) else False
+    starts = np.flatnonzero(filled & cut[:-1])
+    cut[:] = False
+    cut[ends] = True
+    cut[:-1] |= ~filled
+    stops = np.flatnonzero(filled & cut[1:]) + 1
+    offsets = np.append(0, np.cumsum(stops - starts)).astype("<i4")
+    # The tokenizer lowers all letters; ASCII ones may be lowered before.
+    lowered = _LOWER[data[filled]]
+    each = pa.BinaryArray.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(lowered)])
+    each = each.dictionary_encode()
+    return each.indices.to_numpy(), each.dictionary, np.searchsorted(starts, ends)
+
+
+def _encoded(tokenizer, chunks: list[bytes]) -> list[bytes]:
+    """Ids of each chunk (little-endian 32 bits), all chunks in one call.
+
+    A mark that no chunk holds stands between them; should its id come up elsewhere
+    too, each chunk is encoded by itself.
+    """
+    texts = [c.decode() for c in chunks]
+    mark = tokenizer.encode("~", add_special_tokens=False).ids
+    if len(mark) == 1 and not any("~" in t for t in texts):
+        (coded,) = tokenizer.encode_batch_fast([" ~ ".join([*texts, ""])], add_special_tokens=False)
+        ids = np.array(coded.ids, "<u4")
+        ends = np.flatnonzero(ids == mark[0])
+        if len(ends) == len(texts):
+            starts = np.append(0, ends[:-1] + 1)
+            return [ids[a:b].tobytes() for a, b in zip(starts, ends)]
+    if len(chunks) > 1:
+        half = len(chunks) // 2
+        return _encoded(tokenizer, chunks[:half]) + _encoded(tokenizer, chunks[half:])
+    return [np.array(tokenizer.encode(texts[0], add_special_tokens=False).ids, "<u4").tobytes()]
+
+
 def _encoder(path: str):
-    """Function from a list of texts (bytes) to their ids.
+    """Function from texts (an array) to the ids of all and where each text's begin and end.
 
     The tokenizer cuts texts at white space before it merges, and drops that, so a
-    text's ids are those of its chunks between ASCII blanks. Chunks seen before are
-    looked up.
+    text's ids are those of its chunks between ASCII blanks. Distinct chunks are
+    encoded once, and those seen before are looked up.
     """
     tokenizer, known = _tokenizer(path)
 
@@ -50,33 +96,28 @@ def _encoder(path: str):
         """The chunk without a last mark that is a token of its own after a letter."""
         return chunk[:-1] if chunk[-1:] in (b".", b",") and chunk[-2:-1].islower() else chunk
 
-    def encode(texts: list[bytes]) -> list[np.ndarray]:
-        # The tokenizer lowers all letters; ASCII ones may be lowered before.
-        chunked = [text.lower().split() for text in texts]
-        new = [c for c in set().union(*chunked) if c not in known]
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        places, distinct, ends = _chunks(texts)
+        chunks = distinct.to_pylist()
+        codes = list(map(known.get, chunks))
+        new = [c for c, code in zip(chunks, codes) if code is None]
         stems = list({s for s in map(stem, new) if s not in known} | {b".", b","})
         fresh: dict[bytes, bytes] = {}
         for at in range(0, len(stems), _BATCH):
             some = stems[at : at + _BATCH]
-            coded = tokenizer.encode_batch_fast([c.decode() for c in some], add_special_tokens=False)
-            for chunk, ids in zip(some, coded, strict=True):
-                fresh[chunk] = np.array(ids.ids, "<u4").tobytes()
+            fresh.update(zip(some, _encoded(tokenizer, some), strict=True))
         for chunk in new:
             if chunk not in fresh:
                 short = stem(chunk)
                 fresh[chunk] = (known.get(short) or fresh[short]) + fresh[chunk[-1:]]
-
-        def ids_of(chunks):
-            ids = list(map(known.get, chunks))
-            if None in ids:
-                ids = [fresh[c] if i is None else i for c, i in zip(chunks, ids, strict=True)]
-            return np.frombuffer(b"".join(ids), "<u4")
-
-        out = list(map(ids_of, chunked))
+        codes = [fresh[c] if code is None else code for c, code in zip(chunks, codes)]
         if len(known) + len(fresh) > CACHE:
             known.clear()
         known.update((c, i) for c, i in fresh.items() if len(c) <= 32)
-        return out
+        count = np.fromiter(map(len, codes), np.int64, len(codes)) // 4
+        values = np.frombuffer(b"".join(codes), "<u4")
+        ids, stops = gather(values, np.cumsum(count) - count, count, places)
+        return ids, np.append(0, stops)[ends]
 
     return encode
 
@@ -104,13 +145,11 @@ def _write_task(folder: str, path: str, end_id: int):
             return pa.RecordBatch.from_pylist([row])
 
         for batch in batches:
-            texts = batch.column("__text").cast(pa.large_binary())
-            keys = batch.column("__key")
-            for start in range(0, batch.num_rows, 100):
-                some = [t.as_py() or b"" for t in texts.slice(start, 100)]
-                for i, coded in enumerate(encode(some)):
-                    names.append(keys[start + i].as_py())
-                    ids.append(np.append(coded, end_id).astype(np.uint32))
+            for part, texts in text_chunks(batch, "__text", CHUNK):
+                coded, ends = encode(texts)
+                for key, lo, hi in zip(part.column("__key").to_pylist(), ends, ends[1:]):
+                    names.append(key)
+                    ids.append(np.append(coded[lo:hi], end_id).astype(np.uint32))
                     held += len(ids[-1])
                     if held >= FILE_IDS:
                         yield roll()
