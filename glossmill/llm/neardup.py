@@ -7,11 +7,19 @@ coordinate is filled, and agreement between two sketches is as concentrated arou
 the similarity as if elements were sampled without replacement.
 
 Documents with equal sets form a class, compared once. Classes that agree in a
-whole band share a bucket. In a few rounds, every member of a bucket that still
-spans several components is verified against one member drawn from it. After that,
-members outside a bucket's largest component are verified against all members of
-other components. A pair that is left out is connected already, so no link between
-components is lost, and no bucket is expanded into all of its pairs.
+whole band share a bucket. In a round, every member of a bucket that spans several
+components is verified against one member, the most central one outside the
+bucket's largest component, which then leaves the bucket. Rounds end when they link
+little.
+
+What is left in buckets that still span several components is compared by its rarest
+shingles: two sets that are similar enough share one among the first of each, in the
+order of frequency. How many are first follows from both sizes, so sets are keyed by
+shingle, class of their own size and class of the other's. Members outside a bucket's
+largest component are verified against the members that share such a key and pass the
+bound that the places of the shingle set. A pair that is left out is connected already
+or proven not to be similar, so no link between components is lost, and no bucket is
+expanded into its pairs.
 """
 
 from __future__ import annotations
@@ -21,7 +29,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossmill.llm.common import digest_key, stored
@@ -29,7 +38,9 @@ from glossmill.llm.components import components
 
 BANDS, ROWS = 36, 5  # misses a pair at similarity 0.8 with probability 6e-7
 COORDINATES = BANDS * ROWS
-STARS = 4  # rounds in which a bucket's members meet one of them
+STARS = 4  # most rounds in which a bucket's members meet one of them
+LITTLE = 20  # a round is the last one if it joins fewer than one component per 20 pairs
+CLASS = 1.05  # ratio of the sizes at the ends of a class of sizes
 CACHE = 300_000  # word hashes a worker holds at a time
 ROW = "struct<r0: long, r1: long>"  # names a row by its content
 _U = np.uint64
@@ -152,23 +163,31 @@ def _verify_task(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, mine = None, frozenset()
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             left = batch.column("text_a").cast(pa.large_binary())
             right = batch.column("text_b").cast(pa.large_binary())
             hits = []
-            for i, node in enumerate(a):
+            for i, node in enumerate(batch.column("a").to_pylist()):
                 if node != last:
                     last, mine = node, shingle_set(text_words(left[i].as_py()), size)
                 other = shingle_set(text_words(right[i].as_py()), size)
                 both = len(mine & other)
-                if 100 * both >= percent * (len(mine) + len(other) - both):
-                    hits.append(i)
-            yield pa.record_batch(
-                {
-                    "a": pa.array([a[i] for i in hits], pa.int64()),
-                    "b": pa.array([b[i] for i in hits], pa.int64()),
-                }
-            )
+                hits.append(100 * both >= percent * (len(mine) + len(other) - both))
+            yield batch.select(["root_a", "root_b"]).filter(pa.array(hits, pa.bool_()))
+
+    return run
+
+
+def _shingle_task(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").cast(pa.large_binary())
+            rest = batch.drop_columns(["text"])
+            for start in range(0, batch.num_rows, 500):
+                part = texts.slice(start, 500)
+                sets = [shingle_hashes(text_words(t.as_py()), size) for t in part]
+                which = np.repeat(np.arange(start, start + len(sets)), [len(s) for s in sets])
+                tokens = np.concatenate(sets).view(np.int64)
+                yield rest.take(pa.array(which)).append_column("token", pa.array(tokens))
 
     return run
 
@@ -237,70 +256,129 @@ def _components(slim: DataFrame, size: int, percent: int):
     texts = _texts(slim, classes, members, size)
     live = members.withColumn("root", F.col("node"))
     roots = classes.select("node", F.col("node").alias("root"))
-    tested = None
-    for at in range(STARS):
-        live, pairs = _star(live, at, percent)
-        live, roots, tested = _joined(live, roots, tested, pairs, texts, size, percent)
-    _, roots, _ = _joined(live, roots, tested, _rest(live, percent), texts, size, percent)
+    for _ in range(STARS):
+        live, pairs = _star(live, percent)
+        live, roots, little = _joined(live, roots, pairs, texts, size, percent)
+        if little:
+            break
+    _, roots, _ = _joined(live, roots, _rest(live, texts, size, percent), texts, size, percent)
 
     rooted = classes.select("node", "__d0", "__d1", "__first", "__best").join(roots, "node")
     return sketched, rooted
 
 
 def _mixed(live: DataFrame) -> DataFrame:
-    """Members of the buckets that span several components."""
-    spans = live.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    return live.join(spans.filter("lo < hi").select("band"), "band")
+    """Members of the buckets that span several components, with the bucket's size."""
+    spans = live.groupBy("band").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("among")
+    )
+    return stored(live.join(spans.filter("lo < hi").select("band", "among"), "band"), "live")
+
+
+def _largest(live: DataFrame) -> DataFrame:
+    """`band, main, units`: the component with most members of each bucket, and their number."""
+    counted = live.groupBy("band", "root").agg(F.count("*").alias("units"))
+    most = counted.groupBy("band").agg(F.max(F.struct("units", "root")).alias("m"))
+    return most.select("band", F.col("m.root").alias("main"), F.col("m.units").alias("units"))
 
 
 def _pairs(joined: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes whose set sizes allow for a link, from (node, n) and (other, m)."""
+    """Pairs of nodes whose set sizes allow for a link, and their components.
+
+    From (node, n, root) and (other, m, its); components come in order of their ids.
+    """
     sizes = f"100 * least(__n, m) >= {percent} * greatest(__n, m)"
     return joined.filter(sizes).select(
-        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
+        F.least("node", "other").alias("a"),
+        F.greatest("node", "other").alias("b"),
+        F.least("root", "its").alias("root_a"),
+        F.greatest("root", "its").alias("root_b"),
     )
 
 
-def _star(live: DataFrame, at: int, percent: int):
-    """Mixed buckets, and the pairs of their members with one member drawn from each.
+def _star(live: DataFrame, percent: int):
+    """Members of mixed buckets but for one of each, and its pairs with them.
 
-    The draw differs by bucket and round, so a class meets another partner in each
-    bucket it is in.
+    That one is outside the largest component, where there is one, and has the most
+    members beside it in all its buckets: the text of which others are variants.
     """
-    live = stored(_mixed(live), "live")
-    draw = F.struct(
-        F.xxhash64("node", "band", F.lit(at)).alias("h"), "node", "__n", "root"
+    live = _mixed(live)
+    central = live.groupBy("node").agg(F.sum("among").alias("met"))
+    draw = F.struct("met", F.xxhash64("node").alias("h"), "node", "__n", "root")
+    heads = (
+        live.join(central, "node")
+        .join(_largest(live), "band")
+        .filter("root <> main or units = 1")
+        .groupBy("band")
+        .agg(F.max(draw).alias("c"))
     )
-    heads = live.groupBy("band").agg(F.min(draw).alias("c"))
     heads = heads.select("band", "c.node", "c.__n", "c.root").toDF("band", "other", "m", "its")
-    return live, _pairs(live.join(heads, "band").filter("root <> its"), percent)
+    met = live.join(heads, "band")
+    left = met.filter("node <> other").select("band", "node", "__n", "root")
+    return left, _pairs(met.filter("root <> its"), percent)
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(F.greatest(n, F.lit(1))) / F.log(F.lit(CLASS))).cast("int")
 
 
-def _rest(live: DataFrame, percent: int) -> DataFrame:
-    """Of mixed buckets, all pairs of which one is outside the largest component."""
+def _rest(live: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs of members of mixed buckets that may be similar, one outside the largest component.
+
+    Sets of n and m shingles are similar if they share at least percent * (n + m) /
+    (100 + percent). In one order of all shingles, the rarest first, the first one they
+    share has at least that many shingles from it on in both sets.
+    """
     live = _mixed(live)
-    most = (
-        live.groupBy("band", "root")
-        .count()
-        .groupBy("band")
-        .agg(F.max(F.struct("count", "root"))["root"].alias("main"))
+    nodes = (
+        live.join(_largest(live), "band")
+        .groupBy("node", "__n", "root")
+        .agg(F.max(F.col("root") != F.col("main")).alias("outside"))
     )
-    rest = live.join(most, "band").filter("root <> main")
-    rest = rest.select("band", "node", "__n", "root").toDF("band", "other", "m", "its")
-    return _pairs(rest.join(live, "band").filter("root <> its"), percent)
-
-
-def _joined(live, roots, tested, pairs, texts, size, percent):
-    """Verify pairs not tested before and join the components of those that pass."""
-    pairs = pairs.distinct()
-    if tested is not None:
-        pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    pairs = stored(pairs, "pairs")
-    links = _verified(pairs, texts, size, percent)
-    for end in ("a", "b"):
-        ends = roots.toDF(end, f"root_{end}")
-        links = links.join(ends, end)
-    merged = components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    columns = "node long, __n long, root long, outside boolean"
+    tokens = stored(
+        nodes.join(texts, "node")
+        .select(*nodes.columns, "text")
+        .mapInArrow(_shingle_task(size), f"{columns}, token long"),
+        "shingles",
+    )
+    often = tokens.groupBy("token").count().filter("count > 1")
+    mine = W.partitionBy("node")
+    rank = F.row_number().over(mine.orderBy("count", "token"))
+    # Shingles of no other member come before these.
+    place = F.col("__n") - F.count("*").over(mine) + rank - 1
+    first = tokens.join(often, "token").withColumn("after", F.col("__n") - place)
+    first = first.filter(F.col("after") * 100 >= F.col("__n") * percent).select(
+        *nodes.columns, "token", "after", _size_class(F.col("__n")).alias("own")
+    )
+    least = _size_class(F.floor(F.col("__n") * percent / 100))
+    most = _size_class(F.ceil(F.col("__n") * 100 / percent))
+    # Not above any size of the class, whatever the rounding.
+    bound = F.floor(F.pow(F.lit(CLASS), "theirs") * (1 - 1e-9))
+    keys = first.withColumn("theirs", F.explode(F.sequence(least, most))).filter(
+        F.col("after") * (100 + percent) >= (F.col("__n") + bound) * percent
+    )
+    keys = stored(keys, "keys")
+    here = keys.filter("outside").drop("outside")
+    there = keys.select(
+        "token",
+        F.col("theirs").alias("own"),
+        F.col("own").alias("theirs"),
+        F.col("node").alias("other"),
+        F.col("__n").alias("m"),
+        F.col("root").alias("its"),
+        F.col("after").alias("still"),
+    )
+    met = here.join(there, ["token", "own", "theirs"]).filter(
+        f"root <> its and {100 + percent} * least(after, still) >= {percent} * (__n + m)"
+    )
+    return _pairs(met, percent)
+
+
+def _joined(live, roots, pairs, texts, size, percent):
+    """Verify pairs and join the components of those that pass; whether it joined little."""
+    pairs = stored(pairs.distinct(), "pairs")
+    merged = components(_verified(pairs, texts, size, percent).toDF("a", "b"))
     merged = stored(merged.toDF("root", "new"), "merged")
 
     def moved(df):
@@ -310,8 +388,7 @@ def _joined(live, roots, tested, pairs, texts, size, percent):
         )
 
     roots = stored(moved(roots).select("node", "root"), "roots")
-    tested = pairs if tested is None else tested.union(pairs)
-    return moved(live), roots, tested
+    return moved(live), roots, merged.count() * LITTLE <= pairs.count()
 
 
 def _texts(slim, classes, members, size):
@@ -342,8 +419,8 @@ def _texts(slim, classes, members, size):
 def _verified(pairs, texts, size, percent):
     right = texts.toDF("b", "text_b")
     left = texts.toDF("a", "text_a")
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return joined.mapInArrow(_verify_task(size, percent), "a long, b long")
+    joined = pairs.join(right, "b").join(left, "a")
+    return joined.mapInArrow(_verify_task(size, percent), "root_a long, root_b long")
 
 
 def distinct_documents(
