@@ -9,15 +9,17 @@ source has then got the same share of its target, up to one document.
 The running sums need no task that holds a source: a queue is cut into slices
 by the leading bits of the shuffling hash, as many as its number of documents
 asks for; slice totals are summed first, rows only within their slice. The cut
-is found by refining one interval of finish times at a time. The table of
-sources is held by the driver: the caller gives each one a weight.
+is found by refining one interval of finish times at a time. What is taken of a
+queue is its beginning, so the last place taken of each queue tells a document how
+often it is taken, and documents are not shuffled. The table of sources is held by
+the driver: the caller gives each one a weight.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -54,6 +56,24 @@ def targets(
     return out
 
 
+#: A row's place in the queue of its source and epoch, in the order of its fields.
+PLACE = "struct<slice: long, hash: long, name: string, size: long, row: long>"
+
+
+def _place(epoch: Column, seed: int) -> Column:
+    drawn = F.xxhash64(F.lit(seed), epoch, "__at", "__name", "__size")
+    # The sign bit is moved so that slices follow the order of the hash.
+    moved = drawn.bitwiseXOR(F.expr("shiftleft(1L, 63)"))
+    top = F.call_function("shiftrightunsigned", moved, 64 - F.col("__bits"))
+    return F.struct(
+        F.when(F.col("__bits") == 0, F.lit(0).cast("long")).otherwise(top).alias("slice"),
+        drawn.alias("hash"),
+        F.col("__name").alias("name"),
+        F.col("__size").alias("size"),
+        F.col("__row").alias("row"),
+    )
+
+
 def fair_mix(
     docs: DataFrame,
     weights: Callable[[int], float] = cyclic_weights((3, 1, 2)),
@@ -90,59 +110,61 @@ def fair_mix(
     goal = targets(
         [r[2] for r in found], [weights(i) for i in range(len(found))], share, repeats
     )
-    sources = spark.createDataFrame(
-        [
-            (r[0], i, r[2], goal[i], max(0, (r[1] // SLICE_ROWS).bit_length()))
-            for i, r in enumerate(found)
-        ],
-        "__source string, __at int, source_size long, target double, __bits int",
-    )
-    named = rows.join(sources, rows["__source"].eqNullSafe(sources["__source"])).drop(
-        sources["__source"]
-    )
-    queue = named.filter("__size > 0").select(
+    sources = [
+        (r[0], i, r[2], goal[i], max(0, (r[1] // SLICE_ROWS).bit_length()))
+        for i, r in enumerate(found)
+    ]
+    columns = "__source string, __at int, source_size long, target double, __bits int"
+
+    def named(table, columns):
+        table = spark.createDataFrame(table, columns)
+        # Spark knows no size of a table made from a list, and would shuffle the documents.
+        both = rows.join(F.broadcast(table), rows["__source"].eqNullSafe(table["__source"]))
+        return both.drop(table["__source"]).withColumn("__name", F.col("__key").cast("string"))
+
+    queue = named(sources, columns).filter("__size > 0").select(
         "__row",
         "__at",
         "__size",
         "target",
         "__bits",
-        F.col("__key").cast("string").alias("__name"),
+        "__name",
         F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("__epoch"),
     )
-    queue = queue.withColumn(
-        "__hash", F.xxhash64(F.lit(seed), "__epoch", "__at", "__name", "__size")
-    )
-    # The sign bit is moved so that slices follow the order of the hash.
-    top = F.expr(
-        "if(__bits = 0, 0L, shiftrightunsigned(__hash ^ shiftleft(1L, 63), 64 - __bits))"
-    )
-    queue = queue.withColumn("__slice", top)
-    place = ["__at", "__epoch", "__slice"]
-    totals = queue.groupBy(*place).agg(F.sum("__size").alias("__total"))
+    queue = queue.withColumn("__place", _place(F.col("__epoch"), seed))
+    queue = queue.withColumn("__slice", F.col("__place.slice"))
+    slices = ["__at", "__epoch", "__slice"]
+    totals = queue.groupBy(*slices).agg(F.sum("__size").alias("__total"))
     earlier = W.partitionBy("__at").orderBy("__epoch", "__slice")
     totals = totals.select(
-        *place,
+        *slices,
         (F.sum("__total").over(earlier) - F.col("__total")).alias("__before"),
     )
-    inside = W.partitionBy(*place).orderBy("__hash", "__name", "__size", "__row")
+    inside = W.partitionBy(*slices).orderBy("__place")
     served = F.col("__before") + F.sum("__size").over(
         inside.rowsBetween(W.unboundedPreceding, 0)
     )
     timed = stored(
-        queue.join(totals, place).select(
-            "__row", "__at", "__epoch", "__size", (served / F.col("target")).alias("__end")
+        queue.join(totals, slices).select(
+            "__row", "__at", "__epoch", "__size", "__place", (served / F.col("target")).alias("__end")
         ),
         "mix-times",
     )
     taken = _until(timed, sum(goal))
-    per_row = taken.groupBy("__row").agg(F.sum("__size").alias("__taken"))
-    out = named.join(per_row, "__row", "left")
+    last = {(r[0], r[1]): r[2] for r in taken.groupBy("__at", "__epoch").agg(F.max("__place")).collect()}
+    cut = [(*r, [last.get((r[1], epoch)) for epoch in range(repeats)]) for r in sources]
+    out = named(cut, f"{columns}, __last array<{PLACE}>")
+    times = F.lit(0)
+    for epoch in range(repeats):
+        within = _place(F.lit(epoch), seed) <= F.get("__last", F.lit(epoch))
+        times = times + F.when(within, 1).otherwise(0)
+    out = out.withColumn("__taken", F.col("__size") * times)
     return out.select(
         F.col("__key").alias(key),
         F.col("__size").alias("size"),
         "source_size",
         "target",
-        F.coalesce("__taken", F.lit(0)).cast("long").alias("taken"),
+        F.col("__taken").cast("long").alias("taken"),
         *keep,
     )
 
