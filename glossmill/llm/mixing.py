@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -57,7 +58,9 @@ def targets(
 
 
 #: A row's place in the queue of its source and epoch, in the order of its fields.
-PLACE = "struct<slice: long, hash: long, name: string, size: long, row: long>"
+PLACE = pa.struct(
+    {"slice": pa.int64(), "hash": pa.int64(), "name": pa.string(), "size": pa.int64(), "row": pa.int64()}
+)
 
 
 def _place(epoch: Column, seed: int) -> Column:
@@ -111,14 +114,27 @@ def fair_mix(
         [r[2] for r in found], [weights(i) for i in range(len(found))], share, repeats
     )
     sources = [
-        (r[0], i, r[2], goal[i], max(0, (r[1] // SLICE_ROWS).bit_length()))
+        {
+            "__source": r[0],
+            "__at": i,
+            "source_size": r[2],
+            "target": goal[i],
+            "__bits": max(0, (r[1] // SLICE_ROWS).bit_length()),
+        }
         for i, r in enumerate(found)
     ]
-    columns = "__source string, __at int, source_size long, target double, __bits int"
+    columns = {
+        "__source": pa.string(),
+        "__at": pa.int32(),
+        "source_size": pa.int64(),
+        "target": pa.float64(),
+        "__bits": pa.int32(),
+    }
 
     def named(table, columns):
-        table = spark.createDataFrame(table, columns)
-        # Spark knows no size of a table made from a list, and would shuffle the documents.
+        # By Arrow: no Python worker is started for it.
+        table = spark.createDataFrame(pa.Table.from_pylist(table, pa.schema(columns)))
+        # Never by a shuffle of the documents.
         both = rows.join(F.broadcast(table), rows["__source"].eqNullSafe(table["__source"]))
         return both.drop(table["__source"]).withColumn("__name", F.col("__key").cast("string"))
 
@@ -151,9 +167,11 @@ def fair_mix(
         "mix-times",
     )
     taken = _until(timed, sum(goal))
-    last = {(r[0], r[1]): r[2] for r in taken.groupBy("__at", "__epoch").agg(F.max("__place")).collect()}
-    cut = [(*r, [last.get((r[1], epoch)) for epoch in range(repeats)]) for r in sources]
-    out = named(cut, f"{columns}, __last array<{PLACE}>")
+    ends = taken.groupBy("__at", "__epoch").agg(F.max("__place")).collect()
+    last = {(at, epoch): place.asDict() for at, epoch, place in ends}
+    for r in sources:
+        r["__last"] = [last.get((r["__at"], epoch)) for epoch in range(repeats)]
+    out = named(sources, columns | {"__last": pa.list_(PLACE)})
     times = F.lit(0)
     for epoch in range(repeats):
         within = _place(F.lit(epoch), seed) <= F.get("__last", F.lit(epoch))

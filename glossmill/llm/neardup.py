@@ -41,7 +41,7 @@ COORDINATES = BANDS * ROWS
 STARS = 4  # most rounds in which a bucket's members meet one of them
 LITTLE = 20  # a round is the last one if it joins fewer than one component per 20 pairs
 CLASS = 1.05  # ratio of the sizes at the ends of a class of sizes
-CACHE = 300_000  # word hashes a worker holds at a time
+CACHE = 100_000  # word hashes a worker holds at a time
 ROW = "struct<r0: long, r1: long>"  # names a row by its content
 _U = np.uint64
 
@@ -173,6 +173,7 @@ def _verify_task(size: int, percent: int):
                 both = len(mine & other)
                 hits.append(100 * both >= percent * (len(mine) + len(other) - both))
             yield batch.select(["root_a", "root_b"]).filter(pa.array(hits, pa.bool_()))
+            pa.default_memory_pool().release_unused()
 
     return run
 
