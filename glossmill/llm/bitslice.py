@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 
 from glossmill.llm.common import stored
 
-BLOCK_ROWS = 8192  # rows of a block, on average
-BATCH_QUERIES = 128  # queries that meet a block together, on average
+BLOCK_ROWS = 32_768  # rows of a block, on average: long bitmaps cost fewer calls
+BLOCK_VALUES = 1 << 22  # components of a block; long vectors have fewer rows
+BATCH_QUERIES = 128  # queries that reach a task together, on average
+HELD_BYTES = 64_000_000  # of blocks that a task holds
+TASKS_PER_CORE = 2  # that share the blocks, where there are as many
 DROPPED = 3  # low bits of an attribute that are not sliced
 _U = np.uint64
 _INDEX = (
@@ -190,21 +193,31 @@ class _Block:
 
 
 def _search_task(k: int):
+    """The blocks of a task, which come first, then the batches of queries one at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fields = ("rows", "dims", "ids", "vals", "low", "depth", "slices")
+        blocks: list[_Block] = []
         for batch in batches:
             for at in range(batch.num_rows):
-                block = _Block(*(batch.column(f)[at].as_py() for f in fields))
                 queries = batch.column("queries")[at].values
+                if queries is None:
+                    blocks.append(_Block(*(batch.column(f)[at].as_py() for f in fields)))
+                    continue
+                if not blocks:
+                    continue
                 owns = queries.field("__key").to_pylist()
                 tags = queries.field("tag").to_pylist()
                 out: dict[str, list] = {"query_id": [], "tag": [], "vec_id": [], "score": []}
                 for own, tag, vector in zip(owns, tags, queries.field("__v"), strict=True):
-                    ids, scores = block.best(own, vector.values.to_numpy(), k)
-                    out["query_id"] += [own] * len(ids)
-                    out["tag"] += [tag] * len(ids)
-                    out["vec_id"] += ids.tolist()
-                    out["score"] += scores.tolist()
+                    query = vector.values.to_numpy()
+                    found = [block.best(own, query, k) for block in blocks]
+                    ids, scores = (np.concatenate(x) for x in zip(*found))
+                    best = np.lexsort((ids, -scores))[:k]
+                    out["query_id"] += [own] * len(best)
+                    out["tag"] += [tag] * len(best)
+                    out["vec_id"] += ids[best].tolist()
+                    out["score"] += scores[best].tolist()
                 yield pa.record_batch({c: pa.array(v, pa.int64()) for c, v in out.items()})
 
     return run
@@ -212,7 +225,8 @@ def _search_task(k: int):
 
 def build_index(vectors: DataFrame) -> DataFrame:
     """Blocks of the rows of `quantised`, written to the shared folder."""
-    blocks = -(-vectors.count() // BLOCK_ROWS) or 1
+    rows, dims = vectors.agg(F.count(F.lit(1)), F.max(F.size("__v"))).first()
+    blocks = -(-rows // min(BLOCK_ROWS, max(1, BLOCK_VALUES // (dims or 1)))) or 1
     dealt = vectors.withColumn(
         "block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
     )
@@ -220,25 +234,44 @@ def build_index(vectors: DataFrame) -> DataFrame:
     return stored(index, "slices")
 
 
+def _tasks(index: DataFrame, batches: int) -> tuple[int, int]:
+    """Parts of the blocks and of the batches of queries; a task has one of each.
+
+    None holds over HELD_BYTES of blocks (or one block). The batches are parted only
+    where the blocks alone are too few to keep the cores busy.
+    """
+    held = F.octet_length("ids") + F.octet_length("vals") + F.octet_length("slices")
+    blocks, most = index.agg(F.count(F.lit(1)), F.max(held)).first()
+    busy = TASKS_PER_CORE * index.sparkSession.sparkContext.defaultParallelism
+    least = -(-blocks // max(1, HELD_BYTES // (most or 1)))
+    parts = max(1, min(blocks, max(busy, least)))
+    return parts, min(batches, -(-busy // parts))
+
+
 def search(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """`query_id, rank, vec_id, score`: the k best rows of the index for each query.
 
-    Queries are rows as `quantised` gives them. Every batch of queries meets every
-    block; a block hands on k rows per query. Equal queries are answered once,
-    queries that share an id but not the vector each for itself.
+    Queries are rows as `quantised` gives them. A task holds some blocks, and batches
+    of queries pass by; no block meets a batch in a shuffle and nothing is broadcast.
+    It hands on k rows per query. Equal queries are answered once, queries that share
+    an id but not the vector each for itself.
     """
-    blocks = index.agg(F.max("block")).first()[0]
     asked = queries.dropDuplicates().withColumn("tag", F.xxhash64("__key", "__v"))
     batches = -(-asked.count() // BATCH_QUERIES) or 1
-    asked = asked.groupBy(F.pmod(F.col("tag"), F.lit(batches)).alias("batch")).agg(
-        F.collect_list(F.struct("__key", "tag", "__v")).alias("queries")
-    )
-    spread = asked.select(
-        "queries", F.explode(F.sequence(F.lit(0), F.lit(blocks or 0).cast("long"))).alias("block")
-    )
+    parts, shares = _tasks(index, batches)
+    batch = F.pmod("tag", F.lit(batches)).cast("int").alias("batch")
+    asked = asked.groupBy(batch).agg(F.collect_list(F.struct("__key", "tag", "__v")).alias("queries"))
+
+    def every(n: int):
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    # Blocks are numbered from 0 with hardly a gap.
+    held = index.withColumn("part", F.pmod("block", F.lit(parts)).cast("int")).withColumn("share", every(shares))
+    passing = asked.select(F.pmod("batch", F.lit(shares)).alias("share"), "queries", every(parts).alias("part"))
     found = (
-        index.join(spread, "block")
-        .repartition("block", F.xxhash64("queries"))
+        held.unionByName(passing, allowMissingColumns=True)
+        .repartitionById(parts * shares, F.col("part") * shares + F.col("share"))
+        .sortWithinPartitions(F.col("queries").isNotNull())
         .mapInArrow(_search_task(k), "query_id long, tag long, vec_id long, score long")
     )
     order = Window.partitionBy("query_id", "tag").orderBy(F.desc("score"), "vec_id")

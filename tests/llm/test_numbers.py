@@ -50,6 +50,22 @@ def test_top_k(spark, n, dims, spread):
     assert bitslice.top_k(table.limit(0)).count() == 0
 
 
+def test_top_k_of_many_blocks_and_batches(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 4)]) for i in range(500)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(bitslice, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(bitslice, "BATCH_QUERIES", 5)
+    whole = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in rows]
+    for held in (1, 64_000_000):
+        monkeypatch.setattr(bitslice, "HELD_BYTES", held, raising=False)
+        found = bitslice.top_k(table, every=10)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        # Queries times blocks are neither joined nor sent through the driver.
+        assert "Join" not in plan and "Broadcast" not in plan
+        assert {tuple(r) for r in found.collect()} == brute(whole, 5, 10)
+
+
 def test_sketch_agreement_is_near_the_similarity():
     rng = np.random.default_rng(0)
     for n in (1, 3, 40, 5000):
