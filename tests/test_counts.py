@@ -186,3 +186,39 @@ def test_tasks_grow_with_the_text(spark, tmp_path, monkeypatch):
     size = sum(len(d[1]) for d in docs)
     assert got.rdd.getNumPartitions() >= size / 2000
     assert rows(got, "text") == sorted((d[1],) for d in docs)
+
+
+def test_sweep_reads_the_text_once(records):
+    df = records(*["aa bb cc dd\naa bb\nee\n\naa  bb cc dd"] * 3, "aa bb cc (dd)")
+    got = g.ngram_sweep(df, 2, 5, min_freq=4)
+    assert "regexp_extract_all" not in got._jdf.queryExecution().executedPlan().toString()
+    want = rows(g.ngram_sweep(df, 2, 5, min_freq=4, prune=False))
+    assert want and rows(got) == want
+
+
+def test_bigrams_of_one_hash_are_told_apart(records, monkeypatch):
+    monkeypatch.setattr(F, "xxhash64", lambda *c: F.length(c[0]).cast("long"))
+    df = records(*["aa bb cc\ndd ee"] * 4, "ff gg\nhh ii jj")
+    for limit in (0, 1 << 25):
+        got = rows(g.ngram_sweep(df, 2, 3, min_freq=4, broadcast_bytes=limit))
+        assert got == [(2, "aa bb", 4), (2, "bb cc", 4), (2, "dd ee", 4), (3, "aa bb cc", 4)]
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from glossmill.functions.durable import stored
+
+    def files():
+        manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        names = manager.getAllFiles().mkString(" ").split()
+        return {n for n in names if n.endswith(".data") and "shuffle_" in n}
+
+    before = files()
+    kept = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "sums")
+    for _ in range(50):
+        if not (files() - before):
+            break
+        time.sleep(0.2)
+    assert not (files() - before)
+    assert kept.agg(F.sum("count")).first()[0] == 1000
